@@ -27,7 +27,7 @@ def load_corpus(
     have no line breaks inside quotes.
     """
     if isinstance(path, str):
-        return _spread(_read_one_kind(
+        return spread(_read_one_kind(
             spark, path, column, source_column, F.lit(path), whole_text, multiline_csv))
     if not path:
         raise ValueError("no paths given")
@@ -42,7 +42,7 @@ def load_corpus(
     corpus = parts[0]
     for part in parts[1:]:
         corpus = corpus.unionByName(part)
-    return _spread(corpus)
+    return spread(corpus)
 
 
 def _extension(path: str) -> str:
@@ -68,8 +68,8 @@ def _read_one_kind(spark, path, column, source_column, name, whole_text, multili
     return rows.select(name.alias("source_id"), F.col(f"`{column}`").cast("string").alias("content"))
 
 
-def _spread(corpus: DataFrame) -> DataFrame:
-    """Shuffle raw text only when the files give fewer tasks than the session has slots.
+def spread(corpus: DataFrame) -> DataFrame:
+    """Shuffle scanned rows only when the files give fewer tasks than the session has slots.
 
     A large input arrives in far more splits than slots and is left where it is.
     """
