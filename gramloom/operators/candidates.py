@@ -28,51 +28,52 @@ def next_distribution(transitions: DataFrame, states: DataFrame) -> DataFrame:
         (F.col("count") / F.col("total")).alias("prob"), "n_candidates")
 
 
-def cumulative_ranges(transitions: DataFrame, states: DataFrame, hub_fanout: int = HUB_FANOUT) -> DataFrame:
+def hub_states(states: DataFrame, hub_fanout: int = HUB_FANOUT) -> DataFrame:
+    """(ord, state_key) with more than ``hub_fanout`` candidates: at most rows / ``hub_fanout``."""
+    return states.where(F.col("n_candidates") > hub_fanout).select("ord", "state_key")
+
+
+def cumulative_ranges(transitions: DataFrame, hubs: DataFrame | None = None) -> DataFrame:
     """Add ``lo``, ``hi``, ``total``, ``n_candidates``: candidate ranges that tile [0, total).
 
-    Candidates of a state stand in the order (md5 bucket of the token, token). Most states
-    are summed by one window. Hub states, of which there are at most rows / ``hub_fanout``,
-    are windowed per md5 bucket, and each bucket begins where the earlier ones end. Both
-    ways give the same ranges, so ``hub_fanout`` only moves work.
+    Candidates of a state stand in the order (md5 bucket of the token, token). One window
+    sums a state's candidates. The states in ``hubs`` are windowed per md5 bucket instead,
+    and each bucket begins where the earlier ones end, so that no task sorts a whole hub.
+    Both ways give the same ranges; naming hubs only moves work.
     """
     state = ["ord", "state_key"]
-    hubs = states.where(F.col("n_candidates") > hub_fanout).select(*state, F.lit(True).alias("is_hub"))
     bucketed = transitions.withColumn("bucket", hash_bucket(F.col("next_token")))
-    flagged = bucketed.join(hubs, state, "left")
-    group = F.when(F.col("is_hub"), F.col("bucket")).otherwise(F.lit(""))
-    grouped = flagged.withColumn("part", group)
-
-    inside = Window.partitionBy(*state, "part")
-    ordered = inside.orderBy("bucket", "next_token").rowsBetween(Window.unboundedPreceding, 0)
-    summed = grouped.select(
-        *state, "part", "next_token", "count",
-        F.sum("count").over(ordered).alias("upto"),
-        F.sum("count").over(inside).alias("total"),
-        F.count(F.lit(1)).over(inside).alias("n_candidates"),
-    )
-    plain = summed.where(F.col("part") == "").select(
-        *state, "next_token", "count",
-        (F.col("upto") - F.col("count")).alias("lo"), F.col("upto").alias("hi"), "total", "n_candidates")
+    if hubs is None:
+        return _windowed(bucketed, state).drop("bucket")
+    plain = _windowed(bucketed.join(hubs, state, "left_anti"), state).drop("bucket")
 
-    hub_rows = grouped.where(F.col("part") != "")
-    parts = hub_rows.groupBy(*state, "part").agg(
+    hub_rows = bucketed.join(hubs, state, "left_semi")
+    parts = hub_rows.groupBy(*state, "bucket").agg(
         F.sum("count").alias("in_part"), F.count(F.lit(1)).alias("n_part"))
     whole = Window.partitionBy(*state)          # at most 4,096 rows per hub
     before = parts.select(
-        *state, "part",
-        (F.sum("in_part").over(whole.orderBy("part")) - F.col("in_part")).alias("before"),
+        *state, "bucket",
+        (F.sum("in_part").over(whole.orderBy("bucket")) - F.col("in_part")).alias("before"),
         F.sum("in_part").over(whole).alias("hub_total"),
         F.sum("n_part").over(whole).alias("hub_candidates"),
     )
-    hub = summed.where(F.col("part") != "").join(before, [*state, "part"]).select(
+    hub = _windowed(hub_rows, [*state, "bucket"]).join(before, [*state, "bucket"]).select(
         *state, "next_token", "count",
-        (F.col("before") + F.col("upto") - F.col("count")).alias("lo"),
-        (F.col("before") + F.col("upto")).alias("hi"),
+        (F.col("before") + F.col("lo")).alias("lo"), (F.col("before") + F.col("hi")).alias("hi"),
         F.col("hub_total").alias("total"), F.col("hub_candidates").alias("n_candidates"))
     return plain.unionByName(hub)
 
 
+def _windowed(rows: DataFrame, group: list[str]) -> DataFrame:
+    inside = Window.partitionBy(*group)
+    upto = F.sum("count").over(
+        inside.orderBy("bucket", "next_token").rowsBetween(Window.unboundedPreceding, 0))
+    return rows.select(
+        "ord", "state_key", "bucket", "next_token", "count",
+        (upto - F.col("count")).alias("lo"), upto.alias("hi"),
+        F.sum("count").over(inside).alias("total"), F.count(F.lit(1)).over(inside).alias("n_candidates"))
+
+
 def slot_count(n_candidates):
     """How many equal slots a state's range is cut into."""
     return F.least(F.ceil(n_candidates / PER_SLOT), F.lit(MAX_SLOTS)).cast("long")

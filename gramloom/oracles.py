@@ -74,11 +74,13 @@ def _walk(start: str, steps: int, sentences: bool, exact_order: int | None = Non
     for s in range(steps):
         order = f"o = {exact_order}" if exact_order else "o <= requested_order"
         ctes.append(f"""fired{s} AS MATERIALIZED (
-  SELECT p.run_id, max(st.ord) AS ord, arg_max(st.state_key, st.ord) AS state_key, arg_max(st.total, st.ord) AS total
-  FROM {previous} p, (VALUES (1), (2), (3)) AS v(o), states st
-  WHERE p.max_tokens > {s} AND {order} AND o <= len(p.hist)
-    AND st.ord = o AND st.state_key = array_to_string(p.hist[-o:], ' ')
-  GROUP BY p.run_id)""")
+  SELECT k.run_id, max(st.ord) AS ord, arg_max(st.state_key, st.ord) AS state_key, arg_max(st.total, st.ord) AS total,
+         floor({_unit(str(RANDOM_SEED), 'k.run_id', str(s))} * arg_max(st.total, st.ord))::BIGINT AS draw
+  FROM (SELECT run_id, o::TINYINT AS o, array_to_string(hist[-o:], ' ') AS key
+        FROM {previous}, (VALUES (1), (2), (3)) AS v(o)
+        WHERE max_tokens > {s} AND {order} AND o <= len(hist)) k
+  JOIN states st ON st.ord = k.o AND st.state_key = k.key
+  GROUP BY k.run_id)""")
         new = "CASE WHEN r.next_token = '</s>' THEN ['</s>', '<s>'] ELSE [r.next_token] END" if sentences else "[r.next_token]"
         ctes.append(f"""step{s} AS MATERIALIZED (
   SELECT f.run_id, {s}::INTEGER AS step, f.state_key, f.ord AS order_used, r.next_token,
@@ -86,7 +88,7 @@ def _walk(start: str, steps: int, sentences: bool, exact_order: int | None = Non
          p.requested_order, p.max_tokens, list_concat(p.hist, {new}) AS hist
   FROM fired{s} f JOIN {previous} p ON p.run_id = f.run_id
   JOIN ranges r ON r.ord = f.ord AND r.state_key = f.state_key
-   AND floor({_unit(str(RANDOM_SEED), 'f.run_id', str(s))} * f.total)::BIGINT BETWEEN r.lo AND r.hi - 1)""")
+  WHERE f.draw >= r.lo AND f.draw < r.hi)""")
         previous = f"step{s}"
     columns = "run_id, step, state_key, order_used, next_token, chosen_prob, n_candidates"
     union = " UNION ALL ".join(f"SELECT {columns} FROM step{s}" for s in range(steps))
@@ -215,8 +217,9 @@ WINDOW o AS (ORDER BY id, ord)"""),
         "backoff_lookup": _with([*model, STATES, HISTORY], """SELECT p.run_id, max(st.ord) AS order_used,
        arg_max(st.state_key, st.ord) AS state_key, arg_max(st.total, st.ord) AS total,
        arg_max(st.n_candidates, st.ord) AS n_candidates
-FROM prompts p, (VALUES (1), (2), (3)) AS v(o), states st
-WHERE o <= len(p.hist) AND st.ord = o AND st.state_key = array_to_string(p.hist[-o:], ' ') GROUP BY p.run_id"""),
+FROM (SELECT run_id, o::TINYINT AS o, array_to_string(hist[-o:], ' ') AS key
+      FROM prompts, (VALUES (1), (2), (3)) AS v(o) WHERE o <= len(hist)) p
+JOIN states st ON st.ord = p.o AND st.state_key = p.key GROUP BY p.run_id"""),
         "draw_ranges": _with([*model, RANGES], "SELECT * FROM ranges WHERE ord <= 2"),
         "forced_steps": _with([*model, STATES, MSGS, FORCED], "SELECT * FROM forced"),
         "backoff_stats": _with([*model, STATES, MSGS, FORCED], BACKOFF.format("forced")),

@@ -6,7 +6,7 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gramloom.operators.candidates import HUB_FANOUT, cumulative_ranges, draw_table, state_totals
+from gramloom.operators.candidates import HUB_FANOUT, cumulative_ranges, draw_table, hub_states, state_totals
 
 _STATES = "ord TINYINT, state_key STRING, total BIGINT, n_candidates BIGINT"
 _DRAWS = ("ord TINYINT, state_key STRING, slot BIGINT, next_token STRING, "
@@ -31,8 +31,10 @@ class DrawIndex:
         spark = transitions.sparkSession
         index = cls(spark, path, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
         index._write("states", state_totals(transitions), ["ord", "state_key"])
-        states = index.states()
-        ranges = cumulative_ranges(transitions, states, hub_fanout)
+        hubs = hub_states(index.states(), hub_fanout)
+        # Reading the stored totals to see whether there are hubs is cheap: the filter reaches
+        # Parquet. Without hubs the transitions are scanned once instead of three times.
+        ranges = cumulative_ranges(transitions, None if hubs.isEmpty() else hubs)
         index._write("draws", draw_table(ranges), ["ord", "state_key", "slot"])
         return index
 

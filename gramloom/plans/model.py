@@ -69,10 +69,12 @@ class TransitionModel:
         known = {n: getattr(last, n) if last else 0
                  for n in ("last_token_id", "last_document_id", "last_run_id")}
         known.update(ids)
-        row = (last.commit_id + 1 if last else 1, batch, kind, key, *known.values())
-        (self.spark.createDataFrame([row], _COMMITS.rsplit(",", 1)[0])
-             .withColumn("committed_at", F.current_timestamp())
-             .coalesce(1).write.mode("append").parquet(f"{self.path}/commits"))
+        (self.spark.range(1).select(
+            F.lit(last.commit_id + 1 if last else 1).cast("long").alias("commit_id"),
+            F.lit(batch).alias("batch"), F.lit(kind).alias("kind"), F.lit(key).cast("string").alias("commit_key"),
+            *[F.lit(value).cast("long").alias(name) for name, value in known.items()],
+            F.current_timestamp().alias("committed_at"),
+        ).coalesce(1).write.mode("append").parquet(f"{self.path}/commits"))
 
     @staticmethod
     def _next_batch(last: Row | None, kind: str) -> str:
@@ -89,7 +91,7 @@ class TransitionModel:
 
     def _read(self, table: str, schema: str, batches: list[str]) -> DataFrame:
         if not batches:
-            return self.spark.createDataFrame([], schema)
+            return _empty(self.spark, schema)
         root = f"{self.path}/{table}"
         return (self.spark.read.schema(schema).option("basePath", root)
                     .parquet(*[f"{root}/batch={b}" for b in batches]))
@@ -141,7 +143,7 @@ class TransitionModel:
             raise ValueError(f"order must be 1..{MAX_ORDER}")
         commits = self.commits()
         last = commits[-1] if commits else None
-        nobody = self.spark.createDataFrame([], "name string")
+        nobody = _empty(self.spark, "name string")
         if key is not None and any(c.commit_key == key for c in commits):
             return TrainReport(None, nobody)
 
@@ -245,6 +247,11 @@ class TransitionModel:
         self._commit(commits[-1], batch, kind, None)
 
 
+def _empty(spark: SparkSession, schema: str) -> DataFrame:
+    fields = [f.strip().split(" ") for f in schema.split(",")]
+    return spark.range(0).select(*[F.lit(None).cast(kind).alias(name) for name, kind in fields])
+
+
 def _summed(rows: DataFrame, batches: int) -> DataFrame:
     if batches == 1:  # one batch holds each key once
         return rows.select("ord", "state_key", "next_token", F.col("n").alias("count"))

@@ -8,7 +8,7 @@ from gramloom.functions.text import format_bytes
 from gramloom.functions.tokens import letter_tokens, prompt_history, punct_tokens
 from gramloom.operators.backoff import longest_known, suffix_keys
 from gramloom.operators.candidates import (
-    cumulative_ranges, next_distribution as distribution, state_totals as totals)
+    cumulative_ranges, hub_states, next_distribution as distribution, state_totals as totals)
 from gramloom.operators.ngrams import count_transitions, ngrams, ngrams_added as added, window_ngrams
 from gramloom.operators.sentences import doc_tokens as positioned, sentences
 from gramloom.plans import stats
@@ -293,7 +293,7 @@ def backoff_lookup(spark, sf):
 def draw_ranges(spark, sf):
     transitions = _model(spark, sf).transitions(2)
     # A low hub threshold, so that both ways of summing take part.
-    return cumulative_ranges(transitions, totals(transitions), hub_fanout=500)
+    return cumulative_ranges(transitions, hub_states(totals(transitions), hub_fanout=500))
 
 
 def forced_steps(spark, sf):
