@@ -9,11 +9,11 @@ from gramloom.operators.sentences import sentences
 from gramloom.plans.index import DrawIndex
 from gramloom.plans.scoring import forced_steps
 from gramloom.plans.stats import backoff, perplexity
-from gramloom.plans.walk import chains, run_texts, walk
+from gramloom.plans.walk import chains, generation_runs, run_texts, walk
 from gramloom.sources.sinks import write_chains, write_run_texts
 
 TEXT = "The cat eats fish. The cat sleeps here. A dog eats the cat. A bird sings the song."
-PROMPTS = [(1, "", 3, 12), (2, "The cat", 2, 5), (3, None, 9, 0), (4, "zzz", 2, 5), (5, "a dog eats the", 3, 1)]
+PROMPTS = [(1, "", 3, 6), (2, "The cat", 2, 4), (3, None, 9, 9), (4, "zzz", 2, 5), (5, "a dog eats the", 3, 1)]
 
 
 @pytest.fixture(scope="module")
@@ -52,7 +52,7 @@ def test_walks_follow_the_model(spark, transitions, index, tmp_path):
         if r.next_token == "</s>":
             hist.append("<s>")
     made = Counter(r.run_id for r in steps)
-    assert made[1] == 12 and made[2] == 5 and made[3] == 50 and made[4] == 0 and made[5] == 1
+    assert made[1] == 6 and made[2] == 4 and made[3] == 9 and made[4] == 0 and made[5] == 1
     texts = {r.run_id: r for r in run_texts(walks).collect()}
     assert texts[4].stop_reason == "dead end" and texts[4].text == "zzz" and texts[4].tokens == 0
     assert texts[1].stop_reason == "token limit"
@@ -60,18 +60,26 @@ def test_walks_follow_the_model(spark, transitions, index, tmp_path):
     report = backoff(walks.steps).collect()
     assert report[-1].order_used is None and report[-1].steps == len(steps) and report[-1].pct == 100.0
     assert perplexity(walks.steps).count() == 4
-    write_run_texts(run_texts(walks), str(tmp_path / "texts"), min_tokens=10)
+    write_run_texts(run_texts(walks), str(tmp_path / "texts"), min_tokens=5)
     assert {r.run_id for r in spark.read.parquet(str(tmp_path / "texts")).collect()} <= {1, 3}
 
 
 def test_same_seed_same_walks(spark, index, tmp_path):
-    first = walk(index, prompts(spark), 7, str(tmp_path / "a")).steps
-    second = walk(index, prompts(spark).repartition(3), 7, str(tmp_path / "b")).steps
-    other = walk(index, prompts(spark), 8, str(tmp_path / "c")).steps
+    few = prompts(spark).where("run_id IN (1, 2)")
+    first = walk(index, few, 7, str(tmp_path / "a")).steps
+    second = walk(index, few.repartition(3), 7, str(tmp_path / "b")).steps
+    other = walk(index, few, 8, str(tmp_path / "c")).steps
     assert first.exceptAll(second).isEmpty() and second.exceptAll(first).isEmpty()
     assert not first.exceptAll(other).isEmpty()
 
 
+def test_run_defaults(spark):
+    asked = spark.createDataFrame([(1, None, 2, 0), (2, "x", 3, None), (3, "x", 3, 2**30)],
+                                  "run_id long, seed string, requested_order int, max_tokens int")
+    made = generation_runs(asked).orderBy("run_id").collect()
+    assert [(r.seed, r.max_tokens) for r in made] == [("", 50), ("x", 50), ("x", 2**20 - 64)]
+
+
 def test_sentence_start_backs_off(spark, index, tmp_path):
     steps = walk(index, prompts(spark).where("run_id = 3"), 1, str(tmp_path / "w")).steps.orderBy("step").collect()
     after_end = [b for a, b in zip(steps, steps[1:]) if a.next_token == "</s>"]
@@ -81,7 +89,7 @@ def test_sentence_start_backs_off(spark, index, tmp_path):
 def test_reopened_index_and_lookup_plan(spark, index):
     again = DrawIndex.open(spark, index.path, 4)
     assert again.states().count() == index.states().count()
-    needed = spark.range(10).select(F.lit(1).cast("tinyint").alias("ord"), F.col("id").cast("string").alias("state_key"))
+    needed = spark.range(10).select((F.col("id") % 2).cast("tinyint").alias("ord"), F.col("id").cast("string").alias("state_key"))
     plan = needed.hint("merge").join(again.states().hint("merge"), ["ord", "state_key"])
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in text and text.count("Exchange hashpartitioning") == 1  # only the small side moves
