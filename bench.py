@@ -28,6 +28,7 @@ def main() -> None:
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
         .config("spark.sql.shuffle.partitions", str(2 * int(CPUS)))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxConcurrentOutputFileWriters", "16")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
