@@ -45,3 +45,16 @@ def over_texts(make: Callable[[], Callable[[list], pa.Array]], returns: str | Da
 def fold(modulus: int) -> Column:
     """crc32 of doc_id as text, modulo: the split into learning and held-out rows. A null id is in fold 0."""
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(modulus)), F.lit(0))
+
+
+def hash_share(column: Column, share: float) -> Column:
+    """True for about this share of the values of a column, chosen by hash, so the same on every run."""
+    return F.pmod(F.xxhash64(column), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
+
+
+def free_name(frame: DataFrame, stem: str) -> str:
+    """The stem, with underscores before it until no column of the frame has that name."""
+    taken = {c.lower() for c in frame.columns}
+    while stem.lower() in taken:
+        stem = "_" + stem
+    return stem

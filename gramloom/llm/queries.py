@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gramloom.llm import bpe
-from gramloom.llm.common import spread, table, texts_of
+from gramloom.llm import bpe, language, toxicity
+from gramloom.llm.common import fold, spread, table, texts_of
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,5 +20,35 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(bpe.decode(F.col("ids")), 256).alias("decoded_sha256"))
 
 
-ALL = [op10_bpe]
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from the documents of folds 0 and 2 of 3."""
+    docs = table(spark, sf_dir, "documents")
+    learnt = language.learn(docs.where(fold(3) != 1).select("doc_id", "text", "lang"))
+    found = spread(texts_of(docs)).select("doc_id", (fold(3) == 1).alias("held_out"),
+                                          language.identify(F.col("text"), learnt).alias("found"))
+    return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
+
+
+def labelled(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
+    """(doc_id, text, label) of the documents that the table labels covers; of repeated labels the largest."""
+    labels = table(spark, sf_dir, "labels").where(F.col("doc_id").isNotNull() & F.col(column).isNotNull())
+    labels = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(column).cast("int").alias(column))
+    return texts_of(table(spark, sf_dir, "documents")).join(labels, "doc_id")
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    return toxicity.learn(labelled(spark, sf_dir, "toxic").where(fold(5) != 0))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labels of folds 1 to 4 of 5."""
+    model = toxicity_model(spark, sf_dir)
+    found = spread(texts_of(table(spark, sf_dir, "documents"))).select(
+        "doc_id", (fold(5) == 0).alias("held_out"), toxicity.score(F.col("text"), model).alias("found"))
+    return found.select("doc_id", "held_out", F.col("found.score").alias("score"),
+                        (F.col("found.score") >= 0.5).cast("int").alias("predicted"),
+                        F.col("found.passages").alias("passages"))
+
+
+ALL = [op6_language, op9_toxicity, op10_bpe]
 ORACLES: dict[str, str] = {}
