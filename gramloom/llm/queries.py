@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gramloom.llm import bpe, language, toxicity
+from gramloom.llm import bpe, language, quality, toxicity
 from gramloom.llm.common import fold, spread, table, texts_of
 
 
@@ -20,6 +20,13 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(bpe.decode(F.col("ids")), 256).alias("decoded_sha256"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics, base rule and verdict for every document; the trees learn from the labels of quality."""
+    trees = quality.learn(labelled(spark, sf_dir, "quality"))
+    docs = spread(texts_of(table(spark, sf_dir, "documents")))
+    return docs.select("doc_id", quality.judge(F.col("text"), trees).alias("found")).select("doc_id", "found.*")
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learnt from the documents of folds 0 and 2 of 3."""
     docs = table(spark, sf_dir, "documents")
@@ -50,5 +57,5 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("found.passages").alias("passages"))
 
 
-ALL = [op6_language, op9_toxicity, op10_bpe]
+ALL = [op5_quality, op6_language, op9_toxicity, op10_bpe]
 ORACLES: dict[str, str] = {}
