@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import base64
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -22,9 +22,9 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CACHED_PIECES = 400_000  # pieces remembered per worker; when full, the memory is emptied
+CACHED_PIECES = 150_000  # pieces remembered per worker; when full, the memory is emptied
 CACHED_LENGTH = 48
-PAIRS = 500_000  # verdicts on adjacent tokens remembered per worker; when full, the memory is emptied
+PAIRS = 150_000  # verdicts on adjacent tokens remembered per worker; when full, the memory is emptied
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -118,8 +118,13 @@ class Coder:
                 at -= length[rank]
         return out
 
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.token.__getitem__, ids))
+
+def decoder(ranks: dict[bytes, int]) -> Callable[[Iterable[int]], bytes]:
+    """Ids to the bytes that they stand for."""
+    tokens = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return lambda ids: b"".join(map(tokens.__getitem__, ids))
 
 
 _coders: dict[str, Coder] = {}
@@ -189,8 +194,8 @@ def decode(ids: Column, file: str = "byte_bpe_multi_50k.tiktoken") -> Column:
 
     @F.arrow_udf("binary")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = coder(public_tokenizers.path(file))
+        own = decoder(load_ranks(public_tokenizers.path(file)))
         for batch in batches:
-            yield pa.array([own.decode(row.values.to_numpy() if row.is_valid else ()) for row in batch], pa.binary())
+            yield pa.array([own(row.values.to_numpy() if row.is_valid else ()) for row in batch], pa.binary())
 
     return run.asNondeterministic()(ids)
