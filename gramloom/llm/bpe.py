@@ -196,6 +196,6 @@ def decode(ids: Column, file: str = "byte_bpe_multi_50k.tiktoken") -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = decoder(load_ranks(public_tokenizers.path(file)))
         for batch in batches:
-            yield pa.array([own(row.values.to_numpy() if row.is_valid else ()) for row in batch], pa.binary())
+            yield pa.array([own(row.values.to_pylist() if row.is_valid else ()) for row in batch], pa.binary())
 
     return run.asNondeterministic()(ids)

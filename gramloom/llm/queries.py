@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gramloom.llm import bpe, language, quality, toxicity
+from gramloom.llm import bpe, language, quality, secrets, toxicity
 from gramloom.llm.common import fold, spread, table, texts_of
+from gramloom.llm.spans import listed
+from gramloom.session import fresh_dir
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +49,18 @@ def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
     return toxicity.learn(labelled(spark, sf_dir, "toxic").where(fold(5) != 0))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts and digest of the fixed formats, and all spans."""
+    found = secrets.find(texts_of(table(spark, sf_dir, "documents")), fresh_dir(spark, "secrets"))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"), count("random"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from the labels of folds 1 to 4 of 5."""
     model = toxicity_model(spark, sf_dir)
@@ -57,5 +71,5 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("found.passages").alias("passages"))
 
 
-ALL = [op5_quality, op6_language, op9_toxicity, op10_bpe]
+ALL = [op5_quality, op6_language, op7_secrets, op9_toxicity, op10_bpe]
 ORACLES: dict[str, str] = {}
