@@ -117,15 +117,15 @@ class Trees:
         return self.start + self.leaf[trees, at - inner].sum(1)
 
 
-def fit(x: np.ndarray, y: np.ndarray, directions: list[int]) -> Trees:
+def fit(x: np.ndarray, y: np.ndarray, directions: list[int], trees: int = TREES, depth: int = DEPTH, rate: float = RATE) -> Trees:
     """Boosted trees for 0/1 labels. The lighter class gets the heavier weight, so that both count alike."""
     cuts = [np.unique(np.quantile(column, np.linspace(0, 1, BINS)[1:-1])) for column in x.T]
     bins = np.stack([np.searchsorted(c, column, side="left") for c, column in zip(cuts, x.T)], 1)
     weight = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1)) * len(y)
-    margin, inner = np.zeros(len(y)), 2 ** DEPTH - 1
-    feature, threshold = np.zeros((TREES, inner), np.int64), np.full((TREES, inner), np.inf)
-    leaf = np.zeros((TREES, 2 ** DEPTH))
-    for tree in range(TREES):
+    margin, inner = np.zeros(len(y)), 2 ** depth - 1
+    feature, threshold = np.zeros((trees, inner), np.int64), np.full((trees, inner), np.inf)
+    leaf = np.zeros((trees, 2 ** depth))
+    for tree in range(trees):
         p = 1 / (1 + np.exp(-margin))
         g, h = weight * (y - p), weight * p * (1 - p)
         at = np.zeros(len(y), np.int64)
@@ -148,7 +148,7 @@ def fit(x: np.ndarray, y: np.ndarray, directions: list[int]) -> Trees:
         slots = at - inner
         sums_g, sums_h = np.bincount(slots, g, inner + 1), np.bincount(slots, h, inner + 1)
         value = np.clip(sums_g / (sums_h + PENALTY), low[inner:], high[inner:])
-        leaf[tree] = RATE * np.where(np.bincount(slots, minlength=inner + 1) > 0, value, 0.0)
+        leaf[tree] = rate * np.where(np.bincount(slots, minlength=inner + 1) > 0, value, 0.0)
         margin += leaf[tree][slots]
     return Trees(feature, threshold, leaf)
 

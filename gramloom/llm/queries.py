@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gramloom.llm import bpe, language, quality, secrets, toxicity
+from gramloom.llm import bpe, language, pii, quality, secrets, toxicity
 from gramloom.llm.common import fold, spread, table, texts_of
 from gramloom.llm.spans import listed
 from gramloom.session import fresh_dir
@@ -61,6 +61,18 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"), count("random"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: counts and digest of the base formats, and all spans."""
+    docs = texts_of(table(spark, sf_dir, "documents"))
+    found = pii.find(docs, fresh_dir(spark, "pii"))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
+                        listed(F.col("spans")).alias("spans"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from the labels of folds 1 to 4 of 5."""
     model = toxicity_model(spark, sf_dir)
@@ -71,5 +83,5 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("found.passages").alias("passages"))
 
 
-ALL = [op5_quality, op6_language, op7_secrets, op9_toxicity, op10_bpe]
+ALL = [op5_quality, op6_language, op7_secrets, op8_pii, op9_toxicity, op10_bpe]
 ORACLES: dict[str, str] = {}
