@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gramloom.llm import bpe, language, pii, quality, secrets, toxicity
+from gramloom.llm import bpe, fingerprint, language, pii, quality, secrets, toxicity
 from gramloom.llm.common import fold, spread, table, texts_of
 from gramloom.llm.spans import listed
 from gramloom.session import fresh_dir
@@ -22,6 +22,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(bpe.decode(F.col("ids")), 256).alias("decoded_sha256"))
 
 
+def op2_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and their likenesses."""
+    return fingerprint.compare_with_edits(texts_of(table(spark, sf_dir, "documents")))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics, base rule and verdict for every document; the trees learn from the labels of quality."""
     trees = quality.learn(labelled(spark, sf_dir, "quality"))
@@ -83,5 +88,5 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("found.passages").alias("passages"))
 
 
-ALL = [op5_quality, op6_language, op7_secrets, op8_pii, op9_toxicity, op10_bpe]
+ALL = [op2_fingerprint, op5_quality, op6_language, op7_secrets, op8_pii, op9_toxicity, op10_bpe]
 ORACLES: dict[str, str] = {}
