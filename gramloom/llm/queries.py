@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gramloom.llm import bpe, fingerprint, language, pii, quality, secrets, toxicity
+from gramloom.llm import bpe, fingerprint, language, neardup, pii, quality, secrets, toxicity
 from gramloom.llm.common import fold, spread, table, texts_of
 from gramloom.llm.spans import listed
 from gramloom.session import fresh_dir
@@ -27,9 +27,14 @@ def op2_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_edits(texts_of(table(spark, sf_dir, "documents")))
 
 
+def op4_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size, component and survival of every document."""
+    return neardup.near_duplicates(spread(texts_of(table(spark, sf_dir, "documents"))), fresh_dir(spark, "neardup"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics, base rule and verdict for every document; the trees learn from the labels of quality."""
-    trees = quality.learn(labelled(spark, sf_dir, "quality"))
+    trees = quality.learn(table(spark, sf_dir, "documents"), labels_of(spark, sf_dir, "quality"))
     docs = spread(texts_of(table(spark, sf_dir, "documents")))
     return docs.select("doc_id", quality.judge(F.col("text"), trees).alias("found")).select("doc_id", "found.*")
 
@@ -43,15 +48,14 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
 
 
-def labelled(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
-    """(doc_id, text, label) of the documents that the table labels covers; of repeated labels the largest."""
+def labels_of(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
+    """(doc_id, label) of the table labels; of repeated labels the largest."""
     labels = table(spark, sf_dir, "labels").where(F.col("doc_id").isNotNull() & F.col(column).isNotNull())
-    labels = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(column).cast("int").alias(column))
-    return texts_of(table(spark, sf_dir, "documents")).join(labels, "doc_id")
+    return labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(column).cast("int").alias(column))
 
 
 def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
-    return toxicity.learn(labelled(spark, sf_dir, "toxic").where(fold(5) != 0))
+    return toxicity.learn(table(spark, sf_dir, "documents"), labels_of(spark, sf_dir, "toxic").where(fold(5) != 0))
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,5 +92,5 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("found.passages").alias("passages"))
 
 
-ALL = [op2_fingerprint, op5_quality, op6_language, op7_secrets, op8_pii, op9_toxicity, op10_bpe]
+ALL = [op2_fingerprint, op4_neardup, op5_quality, op6_language, op7_secrets, op8_pii, op9_toxicity, op10_bpe]
 ORACLES: dict[str, str] = {}
