@@ -58,3 +58,16 @@ def free_name(frame: DataFrame, stem: str) -> str:
     while stem.lower() in taken:
         stem = "_" + stem
     return stem
+
+
+def sample_of(docs: DataFrame, labels: DataFrame, column: str, per_class: int) -> DataFrame:
+    """(doc_id, text, column) of about ``per_class`` documents of each class 0 and 1, or of all where there are fewer.
+
+    The ids are chosen by hash from ``labels`` (one row per doc_id), so there are at most about 2 * per_class of them, and
+    they are sent to the texts.
+    """
+    labels = labels.where(F.col(column).isin(0, 1)).select("doc_id", F.col(column).cast("int").alias(column))
+    chosen = F.lit(False)
+    for r in labels.groupBy(column).agg(F.count("*").alias("n")).collect():
+        chosen |= (F.col(column) == r[column]) & hash_share(F.col("doc_id"), min(1.0, per_class / r["n"]))
+    return texts_of(docs).where("text is not null").join(F.broadcast(labels.where(chosen)), "doc_id")

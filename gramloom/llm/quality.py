@@ -20,9 +20,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gramloom.llm.common import WORD, hash_share, over_texts
+from gramloom.llm.common import WORD, over_texts, sample_of
 
-SAMPLE = 12_000  # labelled documents that the trees learn from, at most about
+SAMPLE = 6_000  # labelled documents of each class that the trees learn from, at most about
 TREES, DEPTH, RATE, BINS = 80, 4, 0.15, 64
 SMALLEST_LEAF, PENALTY = 20.0, 1.0
 MIN_WORDS, WINDOW = 20, 8
@@ -192,14 +192,10 @@ def statistics_of(text: Column) -> Column:
     return over_texts(make, "struct<" + ",".join(f"{n}:bigint" for n in BASE) + ",x:array<double>>")(text)
 
 
-def learn(labelled: DataFrame) -> Trees | None:
-    """Trees from rows (doc_id, text, quality), about SAMPLE of them, chosen by hash."""
-    rows = labelled.where(F.col("quality").isin(0, 1))
-    sizes = rows.groupBy("quality").agg(F.count("*").alias("n")).collect()
-    if len(sizes) < 2:
-        return None
-    share = min(1.0, SAMPLE / sum(r["n"] for r in sizes))
-    seen = rows.where(hash_share(F.col("doc_id"), share)).select("doc_id", "quality", statistics_of(F.col("text")).alias("s"))
+def learn(docs: DataFrame, labels: DataFrame) -> Trees | None:
+    """Trees from about SAMPLE documents of each class of ``labels`` (doc_id, quality), one row per document."""
+    rows = sample_of(docs, labels, "quality", SAMPLE)
+    seen = rows.select("doc_id", "quality", statistics_of(F.col("text")).alias("s"))
     seen = sorted(seen.select("doc_id", "quality", "s.x").collect())  # the same order on every run
     y = np.array([r["quality"] for r in seen], float)
     if not 0 < y.sum() < len(y):

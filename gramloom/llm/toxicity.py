@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gramloom.llm.common import hash_share, over_texts
+from gramloom.llm.common import over_texts, sample_of
 
 SAMPLE = 6_000  # documents of each class that the model learns from, at most about
 SHORTEST, LONGEST = 3, 12  # letters of the beginnings
@@ -104,16 +104,12 @@ def _evidence(own: Scores, model: Model, text: str):
     return len(words), rows, max(0.0, strong if strong else max(logs))
 
 
-def learn(labelled: DataFrame) -> Model:
-    """A model from rows (doc_id, text, toxic). Of each class about SAMPLE documents, chosen by hash, are learnt from."""
-    rows = labelled.where(F.col("text").isNotNull() & F.col("toxic").isin(0, 1))
-    counts = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    if len(counts) < 2:
+def learn(docs: DataFrame, labels: DataFrame) -> Model:
+    """A model from about SAMPLE documents of each class of ``labels`` (doc_id, toxic), one row per document."""
+    rows = sample_of(docs, labels, "toxic", SAMPLE)
+    sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    if len(sizes) < 2:
         return Model({})
-    chosen = F.lit(False)
-    for label, n in counts.items():
-        chosen |= (F.col("toxic") == label) & hash_share(F.col("doc_id"), min(1.0, SAMPLE / n))
-    rows = rows.where(chosen).select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
 
     @F.arrow_udf("array<string>")
     def units_of(texts: pa.Array) -> pa.Array:
@@ -125,9 +121,6 @@ def learn(labelled: DataFrame) -> Model:
             out.append(list(found))
         return pa.array(out, pa.list_(pa.string()))
 
-    sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    if len(sizes) < 2:
-        return Model({})
     table = (rows.select("toxic", F.explode(units_of("text")).alias("unit"))
              .groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")).where("n >= 4"))
     units = _odds([(r["unit"], r["toxic"], r["n"] - r["toxic"]) for r in table.toLocalIterator()], sizes[1], sizes[0])
