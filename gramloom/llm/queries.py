@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gramloom.llm import bpe, fingerprint, language, neardup, pii, quality, secrets, toxicity
+from gramloom.llm import bpe, fingerprint, language, mixing, neardup, pii, quality, secrets, toxicity
 from gramloom.llm.common import fold, spread, table, texts_of
 from gramloom.llm.spans import listed
 from gramloom.session import fresh_dir
@@ -27,6 +27,34 @@ def op2_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_edits(texts_of(table(spark, sf_dir, "documents")))
 
 
+#: Shares of all tokens that the domains shall have.
+TARGETS = {"good": 0.95, "poor": 0.05}
+
+
+def domains_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, domain): good or poor by the labels of quality."""
+    return labels_of(spark, sf_dir, "quality").select("doc_id", F.when(F.col("quality") == 1, "good").otherwise("poor").alias("domain"))
+
+
+def fitted_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str, keep: tuple[str, ...] = ()) -> tuple[mixing.Mixture, DataFrame]:
+    """The mixture for these documents, and their stored statistics (doc_id, n_tokens, x)."""
+    folder = fresh_dir(spark, "mixing")
+    mixing.with_statistics(texts_of(docs), F.col("text"), "n_tokens", "x").drop("text").write.parquet(folder)
+    stated = spark.read.parquet(folder)
+    return mixing.fit(stated, mixing.learn(stated, domains_of(spark, sf_dir)), TARGETS, keep), stated
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, domain probabilities, rate and whole copies of every document."""
+    mixture, stated = fitted_mixture(spark, table(spark, sf_dir, "documents"), sf_dir)
+    if len(mixture.domains) < 2:
+        rows = stated.select("doc_id", "n_tokens", F.lit(None).cast("double").alias("p_good"), F.lit(1.0).alias("rate"))
+    else:
+        p = stated.withColumn("p", mixture.probabilities(F.col("x")))
+        rows = p.select("doc_id", "n_tokens", F.col("p")[mixture.domains.index("good")].alias("p_good"), mixture.rate(F.col("p")).alias("rate"))
+    return rows.withColumn("copies", mixing.copies(F.col("rate"), F.col("doc_id")))
+
+
 def op4_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size, component and survival of every document."""
     return neardup.near_duplicates(spread(texts_of(table(spark, sf_dir, "documents"))), fresh_dir(spark, "neardup"))
@@ -92,5 +120,5 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("found.passages").alias("passages"))
 
 
-ALL = [op2_fingerprint, op4_neardup, op5_quality, op6_language, op7_secrets, op8_pii, op9_toxicity, op10_bpe]
+ALL = [op2_fingerprint, op3_mixing, op4_neardup, op5_quality, op6_language, op7_secrets, op8_pii, op9_toxicity, op10_bpe]
 ORACLES: dict[str, str] = {}
