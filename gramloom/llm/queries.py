@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gramloom.llm import bpe, fingerprint, language, mixing, neardup, pii, quality, secrets, toxicity
+from gramloom.llm import bpe, fingerprint, html, language, mixing, neardup, pii, quality, secrets, toxicity
 from gramloom.llm.common import fold, spread, table, texts_of
 from gramloom.llm.spans import listed
 from gramloom.session import fresh_dir
@@ -22,6 +22,15 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(bpe.decode(F.col("ids")), 256).alias("decoded_sha256"))
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
+                                                 F.col("html").cast("string").alias("html"))
+    field = html.learn(pages)
+    texts = spread(pages).select("page_id", "url", html.main_text(F.col("html"), field).alias("text"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op2_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and its edited text, and their likenesses."""
     return fingerprint.compare_with_edits(texts_of(table(spark, sf_dir, "documents")))
@@ -120,5 +129,5 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("found.passages").alias("passages"))
 
 
-ALL = [op2_fingerprint, op3_mixing, op4_neardup, op5_quality, op6_language, op7_secrets, op8_pii, op9_toxicity, op10_bpe]
+ALL = [op1_html, op2_fingerprint, op3_mixing, op4_neardup, op5_quality, op6_language, op7_secrets, op8_pii, op9_toxicity, op10_bpe]
 ORACLES: dict[str, str] = {}
