@@ -36,11 +36,16 @@ ALPHABETS = {
 }
 
 
+def key_of(doc_id: Column, text: Column) -> Column:
+    """What tells rows apart: equal only for equal id and text."""
+    return F.xxhash64(doc_id, F.coalesce(text, F.lit("")))
+
+
 def fixed(docs: DataFrame) -> DataFrame:
-    """(doc_id, spans, tokens): spans of fixed formats by start, and other tokens that mix digits with letters."""
+    """(doc_id, key, spans, tokens): spans of fixed formats by start, and other tokens that mix digits with letters."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text"))
-    rows = rows.select("doc_id", matches(F.col("text"), ASSIGN).alias("assign"),
+    rows = rows.select("doc_id", key_of(F.col("doc_id"), F.col("text")).alias("key"), matches(F.col("text"), ASSIGN).alias("assign"),
                        matches(F.col("text"), "AKIA[A-Z0-9]{14,}", F.col("text").contains("AKIA")).alias("access"),
                        matches(F.col("text"), "[0-9a-f]{16,}").alias("hex"), matches(F.col("text"), TOKEN).alias("tokens"))
     valued = F.filter("assign", lambda s: F.length(F.regexp_extract(s["match"], ASSIGN, 2)) >= 12)
@@ -49,8 +54,8 @@ def fixed(docs: DataFrame) -> DataFrame:
         return F.transform(spans, lambda s: F.struct(s["start"], F.lit(KINDS.index(kind)).alias("rank"), s["end"], F.lit(kind).alias("kind")))
 
     spans = F.array_sort(F.concat(of("assign", valued), of("access", F.col("access")), of("hex", F.col("hex"))))
-    rows = rows.select("doc_id", spans.alias("spans"), "tokens")
-    return rows.select("doc_id", "spans", F.filter("tokens", lambda t: t["match"].rlike("[0-9]") & t["match"].rlike("[A-Za-z]") &
+    rows = rows.select("doc_id", "key", spans.alias("spans"), "tokens")
+    return rows.select("doc_id", "key", "spans", F.filter("tokens", lambda t: t["match"].rlike("[0-9]") & t["match"].rlike("[A-Za-z]") &
                                                    ~overlapping(F.col("spans"), t)).alias("tokens"))
 
 
@@ -120,7 +125,7 @@ def thresholds(found: DataFrame) -> dict[int, float]:
 
 
 def find(docs: DataFrame, folder: str) -> DataFrame:
-    """(doc_id, spans) for every row of docs: spans of (start, rank, end, kind) in order.
+    """(doc_id, key, spans) for every row of docs: spans of (start, rank, end, kind) in order.
 
     The fixed formats and tokens of all rows are written to ``folder``, a new folder that all executors share, so
     that texts are searched once.
@@ -138,7 +143,7 @@ def find(docs: DataFrame, folder: str) -> DataFrame:
     added = (found.where(accepted & (F.col("p_random") >= REJECTED))
              .groupBy("row").agg(F.collect_list(F.struct("start", F.lit(KINDS.index("random")).alias("rank"), "end", F.lit("random").alias("kind"))).alias("added")))
     joined = rows.drop("tokens").join(added, "row", "left")
-    return joined.select("doc_id", F.when(F.col("added").isNull(), F.col("spans")).otherwise(F.array_sort(F.concat("spans", "added"))).alias("spans"))
+    return joined.select("doc_id", "key", F.when(F.col("added").isNull(), F.col("spans")).otherwise(F.array_sort(F.concat("spans", "added"))).alias("spans"))
 
 
 def redacted(text: Column, spans: Column) -> Column:
