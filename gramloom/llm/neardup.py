@@ -9,10 +9,12 @@ set similarity join", 2018). Trees are independent and repeated, so that a pair
 probability of about (1 - 0.75 ** 4) ** TREES = 1e-4.
 
 Nodes of at most SMALL documents are compared exhaustively. Larger nodes branch on. What is large at the last step holds very
-similar documents: each is compared with one of them, another in each tree, which connects dense groups at linear
-cost. What is left over then in nodes where one component has the majority is compared with all of that node,
-in blocks. Comparisons first count differing bits of signatures, and are confirmed on the full sets. Links are joined into
-components by star contraction.
+similar documents: each is compared with one of them, another in each tree. Comparisons count differing bits of signatures;
+near pairs are confirmed on the full sets. As only components are asked for, this goes in two passes. First every member of a
+node brings its nearest predecessor, which connects dense groups at linear cost. Then near pairs across the components so
+found are confirmed, the nearest pairs of two components first; nodes that one component fills are done. Where one component
+has the majority of a large node, the others are compared with all of the node, in blocks. Links are joined into components by star
+contraction.
 
 Texts without words, empty or null, have the empty set and no links. Rows with a null doc_id cannot be named: their
 component is null and they are kept. Rows with the same doc_id are one document with several texts.
@@ -37,8 +39,10 @@ TREES = 24
 STEPS = (4, 5, 6)  # depths at which nodes are looked at
 SMALL = 16
 #: Bits of 128 that may differ: links of similarity 0.75 differ in 16 of them, with a standard deviation of 3.7.
-MAX_BITS = 34
+MAX_BITS = 31
 BLOCK = 512
+NEAREST = 8  # pairs of two components confirmed before the others
+SLOTS = 1 << 20  # of the filter of ids
 LEAST = 75  # links: 100 * shared >= LEAST * united
 CACHED_WORDS = 300_000
 _PRIME, _PRIME2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -141,63 +145,103 @@ def walks(reps: DataFrame) -> DataFrame:
     return reps.select("rep", "sig").mapInArrow(run, "rep bigint, " + ", ".join(f"{n} bigint" for n in names) + ", b0 bigint, b1 bigint")
 
 
-def _near(a: Column, b: Column) -> Column:
-    return F.bit_count(a["b0"].bitwiseXOR(b["b0"])) + F.bit_count(a["b1"].bitwiseXOR(b["b1"])) <= MAX_BITS
+def _distance(a: Column, b: Column) -> Column:
+    return F.bit_count(a["b0"].bitwiseXOR(b["b0"])) + F.bit_count(a["b1"].bitwiseXOR(b["b1"]))
 
 
-def _pairs_within(members: Column) -> Column:
-    """All near pairs (a < b) of a short array of (rep, b0, b1)."""
+def _pair(x: Column, y: Column) -> Column:
+    return F.struct(F.least(x["rep"], y["rep"]).alias("a"), F.greatest(x["rep"], y["rep"]).alias("b"), _distance(x, y).alias("bits"))
+
+
+def _predecessors(members: Column) -> Column:
+    """For each of a short array of (rep, b0, b1): the near pair with the nearest one before it."""
+
+    def nearest(x: Column, i: Column) -> Column:
+        before = F.slice(members, 1, i)
+        return F.array_min(F.transform(before, lambda y: F.struct(_distance(x, y).alias("d"), _pair(x, y).alias("p"))))
+
+    found = F.transform(members, lambda x, i: F.when(i > 0, nearest(x, i)))
+    return F.transform(F.filter(found, lambda n: (n["d"] <= MAX_BITS) & (n["p"]["a"] != n["p"]["b"])), lambda n: n["p"])
+
+
+def _across(members: Column) -> Column:
+    """All near pairs of a short array of (rep, b0, b1, component) that lie in two components."""
     return F.flatten(F.transform(members, lambda x, i: F.transform(
-        F.filter(F.slice(members, i + 2, F.size(members)), lambda y: (y["rep"] != x["rep"]) & _near(x, y)),
-        lambda y: F.struct(F.least(x["rep"], y["rep"]).alias("a"), F.greatest(x["rep"], y["rep"]).alias("b")))))
+        F.filter(F.slice(members, i + 2, F.size(members)), lambda y: (y["component"] != x["component"]) & (_distance(x, y) <= MAX_BITS)),
+        lambda y: _pair(x, y))))
 
 
-def candidates(nodes: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Near pairs (a, b) of class representatives, and the rows (node, rep, b0, b1) of large nodes at the first depth."""
+def grown(nodes: DataFrame, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Members (node, rep, b0, b1, size) of small nodes of all depths, of nodes large at the last, and of those large at the first."""
     spark = nodes.sparkSession
-    member = F.struct("rep", "b0", "b1")
-    pairs, large = [], nodes
+    small, large = None, nodes
     for depth in STEPS:
-        node = f"node{depth}"
-        sized = large.withColumn("size", F.count("*").over(Window.partitionBy(node))).where("size > 1")
+        name = f"node{depth}"
+        sized = large.withColumn("size", F.count("*").over(Window.partitionBy(name))).where("size > 1")
         sized.write.parquet(f"{folder}/nodes{depth}")
         sized = spark.read.parquet(f"{folder}/nodes{depth}")
-        small = sized.where(f"size <= {SMALL}").groupBy(node).agg(F.collect_list(member).alias("members"))
-        pairs.append(small.select(F.explode(_pairs_within(F.col("members"))).alias("p")).select("p.*"))
+        members = sized.select(F.col(name).alias("node"), "rep", "b0", "b1", "size")
+        here = members.where(f"size <= {SMALL}")
+        small = here if small is None else small.union(here)
+        if depth == STEPS[0]:
+            crowded = members.where(f"size > {SMALL}")
         large = sized.where(f"size > {SMALL}").drop("size")
-    pivots = large.groupBy(node).agg(F.min(F.struct(F.xxhash64("rep", node).alias("h"), *["rep", "b0", "b1"])).alias("pivot"))
-    star = large.join(pivots, node).where((F.col("rep") != F.col("pivot.rep")) & _near(member, F.col("pivot")))
-    pairs.append(star.select(F.least("rep", "pivot.rep").alias("a"), F.greatest("rep", "pivot.rep").alias("b")))
-    found = pairs[0]
-    for more in pairs[1:]:
-        found = found.union(more)
-    crowded = spark.read.parquet(f"{folder}/nodes{STEPS[0]}").where(f"size > {SMALL}")
-    return found.distinct(), crowded.select(F.col(f"node{STEPS[0]}").alias("node"), "rep", "b0", "b1", "size")
-
-
-def leftovers(crowded: DataFrame, known: DataFrame) -> DataFrame:
-    """Near pairs across components in nodes where one component holds the majority: its others against all, in blocks."""
-    rows = crowded.join(known.select(F.col("id").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    return small, members.where(f"size > {SMALL}"), crowded
+
+
+def first_pairs(small: DataFrame, dense: DataFrame) -> DataFrame:
+    """Near pairs (a, b, bits) that connect what is alike in a node: nearest predecessors, and stars of dense nodes."""
+    member = F.struct("rep", "b0", "b1")
+    chains = small.groupBy("node").agg(F.sort_array(F.collect_list(member)).alias("m")).select(F.explode(_predecessors(F.col("m"))).alias("p")).select("p.*")
+    pivots = dense.groupBy("node").agg(F.min(F.struct(F.xxhash64("rep", "node").alias("h"), "rep", "b0", "b1")).alias("pivot"))
+    star = dense.join(pivots, "node").select(_pair(member, F.col("pivot")).alias("p")).select("p.*").where(f"a != b and bits <= {MAX_BITS}")
+    return chains.union(star).groupBy("a", "b").agg(F.min("bits").alias("bits"))
+
+
+def second_pairs(small: DataFrame, crowded: DataFrame, known: DataFrame) -> DataFrame:
+    """Near pairs (a, b, bits) across the known components (id, component)."""
+    known = known.select(F.col("id").alias("rep"), "component")
+
+    def named(rows: DataFrame) -> DataFrame:
+        return rows.join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+
+    member = F.struct("rep", "b0", "b1", "component")
+    mixed = named(small).groupBy("node").agg(F.collect_list(member).alias("m"), F.min("component").alias("l"), F.max("component").alias("h"))
+    pairs = mixed.where("l != h").select(F.explode(_across(F.col("m"))).alias("p")).select("p.*")
+
+    rows = named(crowded)
     parts = rows.groupBy("node", "component").agg(F.count("*").alias("n"), F.max("size").alias("size")).where("2 * n > size and n < size")
     rows = rows.drop("size").join(parts.select("node", F.col("component").alias("main"), "size"), "node")
     blocks = F.ceil(F.col("size") / BLOCK)
-    members = rows.withColumn("block", F.pmod(F.xxhash64("rep"), blocks))
-    others = rows.where("component != main").withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
-    x, y = members.alias("x"), others.alias("y")
-    near = F.bit_count(F.expr("x.b0 ^ y.b0")) + F.bit_count(F.expr("x.b1 ^ y.b1")) <= MAX_BITS
-    return x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.block") == F.col("y.block")) &
-                  (F.col("x.component") != F.col("y.component")) & near).select(
-        F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
-
-
-def confirmed(pairs: DataFrame, docs: DataFrame, folder: str) -> DataFrame:
-    """The pairs whose full sets are similar enough. Only texts of documents in pairs are turned into sets."""
-    spark = pairs.sparkSession
-    pairs.write.parquet(f"{folder}/pairs")
-    pairs = spark.read.parquet(f"{folder}/pairs")
+    members = rows.withColumn("block", F.pmod(F.xxhash64("rep"), blocks)).select("node", "block", member.alias("x"))
+    others = rows.where("component != main").withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1))).select("node", "block", member.alias("y"))
+    x, y = F.col("x"), F.col("y")
+    both = members.join(others, ["node", "block"]).where((x["component"] != y["component"]) & (_distance(x, y) <= MAX_BITS))
+    return pairs.union(both.select(_pair(x, y).alias("p")).select("p.*")).groupBy("a", "b").agg(F.min("bits").alias("bits"))
+
+
+def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of docs whose doc_id is in ``ids``. A filter of fixed size, a mark for each hash of an id, spares most others the join."""
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS))
+    words = ids.select(slot.alias("s")).groupBy(F.expr("cast(s div 32 as int) as w")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(s % 32 as int))) as bits")).collect()  # at most SLOTS / 32 rows
+    marks = bytearray(SLOTS)
+    for r in words:
+        for k in range(32):
+            marks[32 * r["w"] + k] = (r["bits"] >> k) & 1
+    marked = F.substring(F.lit(bytes(marks)), (slot + 1).cast("int"), F.lit(1)) == F.lit(b"\1")
+    return docs.where(marked).join(ids, "doc_id", "left_semi")
+
+
+def stored_sets(pairs: DataFrame, docs: DataFrame, folder: str) -> DataFrame:
+    """(doc_id, s): the full sets of the documents in pairs."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    docs.join(ids, "doc_id", "left_semi").select("doc_id", full_set(F.col("text")).alias("s")).write.parquet(f"{folder}/sets")
-    sets = spark.read.parquet(f"{folder}/sets")
+    only(docs, ids).select("doc_id", full_set(F.col("text")).alias("s")).write.parquet(folder)
+    return pairs.sparkSession.read.parquet(folder)
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough."""
 
     @F.arrow_udf("boolean")
     def linked(a: pa.Array, b: pa.Array) -> pa.Array:
@@ -210,10 +254,14 @@ def confirmed(pairs: DataFrame, docs: DataFrame, folder: str) -> DataFrame:
             out.append(100 * shared >= LEAST * (len(x) + len(y) - shared))
         return pa.array(out, pa.bool_())
 
-    rows = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), "a")
+    rows = pairs.select("a", "b").join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), "a")
     rows = rows.join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb")), "b")
-    rows.select("a", "b", linked("sa", "sb").alias("ok")).where("ok").select("a", "b").distinct().write.parquet(f"{folder}/links")
-    return spark.read.parquet(f"{folder}/links")
+    return rows.select("a", "b", linked("sa", "sb").alias("ok")).where("ok").select("a", "b").distinct()
+
+
+def _stored(frame: DataFrame, folder: str) -> DataFrame:
+    frame.write.parquet(folder)
+    return frame.sparkSession.read.parquet(folder)
 
 
 def components(links: DataFrame, folder: str) -> DataFrame:
@@ -241,6 +289,14 @@ def components(links: DataFrame, folder: str) -> DataFrame:
     return found.union(found.select(F.col("component").alias("id"), "component").distinct())
 
 
+def _between(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """The pairs with the components of both ends as (low, high)."""
+    for end in ("a", "b"):
+        pairs = pairs.join(known.select(F.col("id").alias(end), F.col("component").alias(f"of_{end}")), end, "left")
+    of_a, of_b = F.coalesce("of_a", "a"), F.coalesce("of_b", "b")
+    return pairs.select("a", "b", "bits", F.least(of_a, of_b).alias("low"), F.greatest(of_a, of_b).alias("high"))
+
+
 def near_duplicates(docs: DataFrame, folder: str) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of docs (doc_id, text).
 
@@ -252,10 +308,21 @@ def near_duplicates(docs: DataFrame, folder: str) -> DataFrame:
     named = signed.where("doc_id is not null and digest is not null")
     named.groupBy("digest", "sig").agg(F.min("doc_id").alias("rep")).write.parquet(f"{folder}/classes")
     classes = spark.read.parquet(f"{folder}/classes")
-    pairs, crowded = candidates(walks(classes), folder)
-    links = confirmed(pairs, docs, f"{folder}/first")
-    known = components(links, f"{folder}/first")
-    more = confirmed(leftovers(crowded, known), docs, f"{folder}/second")
+    small, dense, crowded = grown(walks(classes), folder)
+    pairs = _stored(first_pairs(small, dense), f"{folder}/pairs1")
+    links = _stored(confirmed(pairs, stored_sets(pairs, docs, f"{folder}/sets1")), f"{folder}/links1")
+    known = components(links, f"{folder}/known1")
+
+    # across components: the nearest pairs of each two, then all of those still apart
+    pairs = second_pairs(small, crowded, known).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+    pairs = _stored(_between(pairs, known).withColumn("rank", F.row_number().over(
+        Window.partitionBy("low", "high").orderBy("bits", "a", "b"))), f"{folder}/pairs2")
+    sets = stored_sets(pairs, docs, f"{folder}/sets2")
+    nearest = _stored(confirmed(pairs.where(f"rank <= {NEAREST}"), sets), f"{folder}/links2")
+    again = known.select(F.col("component").alias("a"), F.col("id").alias("b")).where("a != b").union(nearest)
+    known = components(again, f"{folder}/known2")
+    rest = _between(pairs.where(f"rank > {NEAREST}").select("a", "b", "bits"), known).where("low != high")
+    more = confirmed(rest, sets)
     # classes whose documents share an id, and both rounds of links, meet here
     same = named.select("doc_id", "digest").join(classes.select("digest", "rep"), "digest").where("doc_id != rep")
     repeated = named.groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1").select("doc_id")
