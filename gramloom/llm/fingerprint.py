@@ -162,8 +162,9 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("key", F.coalesce(F.col("doc_id"), F.xxhash64("text")))
     ids = rows.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(F.length("text")).alias("n"))
     gives = neighbours(ids).select(F.col("next_id").alias("key"), F.col("doc_id").alias("to"), F.floor(F.col("n") / 3).cast("int").alias("wanted"))
-    copies = Window.partitionBy("key").orderBy(F.xxhash64("text"))
-    given = rows.where("doc_id is not null").join(gives, "key").withColumn("copy", F.row_number().over(copies)).where("copy = 1").select(
+    # rows keep doc_id, key and text on both ways, so that the texts are shuffled once for both
+    copies = Window.partitionBy("key").orderBy(F.col("doc_id").isNull(), F.xxhash64("text"))
+    given = rows.join(gives, "key").withColumn("copy", F.row_number().over(copies)).where("copy = 1").select(
         F.col("to").alias("key"), F.expr("left(text, wanted)").alias("head"), digests(F.col("text")).alias("following"))
     nothing = F.expr("cast(array() as array<bigint>)")
     both = rows.join(given, "key", "left")
