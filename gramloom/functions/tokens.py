@@ -13,7 +13,6 @@ NOT_LETTER_OR_BLANK = r"[^A-Za-z \t]"
 BLANK = r"[ \t]"
 ALNUM_OR_PUNCT = r"[A-Za-z0-9]+|[!-/:-@\[-`{-~]"
 MAX_ORDER = 9
-MAX_SEED_TOKENS = 36
 
 
 def sentence_texts(content: Column) -> Column:
@@ -48,7 +47,7 @@ def punct_tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(ALNUM_OR_PUNCT), F.lit(0))
 
 
-def prompt_history(seed: Column, limit: int = MAX_SEED_TOKENS) -> Column:
-    """Tokens a walk starts from: the seed's first ``limit`` words, or the start sentinel."""
-    tokens = F.slice(words(F.coalesce(seed, F.lit(""))), 1, limit)
+def prompt_history(seed: Column) -> Column:
+    """Tokens a walk starts from: all words of the seed, or the start sentinel."""
+    tokens = words(F.coalesce(seed, F.lit("")))
     return F.when(F.size(tokens) > 0, tokens).otherwise(F.array(F.lit(START)))

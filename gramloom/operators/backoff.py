@@ -20,12 +20,12 @@ def suffix_keys(rows: DataFrame, keep: list[str], history: str, longest: Column,
     )
 
 
-def longest_known(keys: DataFrame, states: DataFrame, row_id: list[str]) -> DataFrame:
+def longest_known(keys: DataFrame, states: DataFrame, row_id: list[str], few: bool = False) -> DataFrame:
     """(row_id…, state): per row, the known state of highest order, as a struct.
 
     ``states`` holds (ord, state_key) and what else the caller wants to know of a state.
     Rows none of whose suffixes is known are absent from the result.
     """
-    found = lookup(keys, states, ["ord", "state_key"], row_id)
+    found = lookup(keys, states, ["ord", "state_key"], row_id, few=few)
     facts = F.struct(*[F.col(c) for c in states.columns])
     return found.groupBy(*row_id).agg(F.max_by(facts, F.col("ord")).alias("state"))

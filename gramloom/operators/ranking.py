@@ -24,7 +24,7 @@ def dense_ids(rows: DataFrame, key: str, id_name: str, start: int = 0) -> DataFr
     where the earlier ones end. The numbers depend on the values only, so a task that runs
     again after a lost executor gives the same ones.
     """
-    bucketed = rows.withColumn("bucket", hash_bucket(F.col(key)))
+    bucketed = rows.withColumn("bucket", hash_bucket(F.col(key).cast("string")))
     before = offsets_by_bucket(bucketed, F.col("bucket"), F.lit(1).cast("long"))
     place = F.row_number().over(Window.partitionBy("bucket").orderBy(key))
     return (bucketed.withColumn("place", place)

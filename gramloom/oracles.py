@@ -5,9 +5,10 @@ The statements share common table expressions, put together here by name.
 
 from __future__ import annotations
 
+from gramloom.functions.tokens import ALNUM_OR_PUNCT, WORD
 from gramloom.queries import CHAIN_LENGTH, RANDOM_SEED
 
-WORDS = r"regexp_extract_all(replace(lower({0}), '’', ''''), '[\p{{L}}][\p{{L}}'']*')"
+WORDS = "regexp_extract_all(replace(lower({0}), '’', ''''), '" + WORD.replace("'", "''").replace("{", "{{").replace("}", "}}") + "')"
 
 
 def _sentences(name: str, table: str, keys: str) -> str:
@@ -60,7 +61,7 @@ GROWN = [
 ]
 HISTORY = "prompts AS MATERIALIZED (SELECT run_id, requested_order, max_tokens, CASE WHEN len(w) = 0 THEN ['<s>'] ELSE w END AS hist\n" \
           "  FROM (SELECT conv_id * 1000 + turn AS run_id, turn % 3 + 1 AS requested_order, turn % 3 + 2 AS max_tokens,\n" \
-          f"               ({WORDS.format('text')})[1:36] AS w FROM conversations) p)"
+          f"               {WORDS.format('text')} AS w FROM conversations) p)"
 
 
 def _unit(*parts: str) -> str:
@@ -137,15 +138,26 @@ CHAIN = [
            FILTER (s.step IS NOT NULL), [])), ' ') AS chain
   FROM begun b LEFT JOIN steps s ON s.run_id = b.run_id GROUP BY b.run_id, b.hist)""",
 ]
-BACKOFF = """SELECT order_used, count(*) AS steps,
-       round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM {0} WHERE order_used IS NOT NULL), 1) AS pct
-FROM {0} WHERE order_used IS NOT NULL GROUP BY ROLLUP (order_used)"""
-PERPLEXITY = """SELECT {1}, count(chosen_prob) AS tokens, round(-avg(log2(chosen_prob)), 3) AS avg_surprise_bits,
-       round(pow(2, -avg(log2(chosen_prob))), 2) AS perplexity
-FROM {0} WHERE chosen_prob IS NOT NULL GROUP BY {1}"""
-ENTROPY = """SELECT ord, state_key, count(*) AS branches, round(-sum(p * log2(p)), 3) AS entropy_bits
-FROM (SELECT ord, state_key, count::DOUBLE / sum(count) OVER (PARTITION BY ord, state_key) AS p FROM trans) s
-GROUP BY ord, state_key HAVING count(*) > 1"""
+# Each from its definition: totals and parts counted apart; a run's probability as one sum of logarithms; the
+# entropy of the uncounted next tokens of a state; a rank as one more than the number of more frequent words.
+BACKOFF = """SELECT fired.order_used, fired.steps, round(100.0::DOUBLE * fired.steps / everything.steps, 1) AS pct
+FROM (SELECT order_used, count(*) AS steps FROM {0} WHERE order_used > 0 GROUP BY order_used) fired,
+     (SELECT count(*) AS steps FROM {0} WHERE order_used > 0) everything
+UNION ALL
+SELECT NULL, count(*), 100.0::DOUBLE FROM {0} WHERE order_used > 0 HAVING count(*) > 0"""
+PERPLEXITY = """SELECT {1}, tokens, round(bits, 3) AS avg_surprise_bits, round(exp(bits * ln(2.0::DOUBLE)), 2) AS perplexity
+FROM (SELECT {1}, count(*) AS tokens, -sum(ln(chosen_prob)) / ln(2.0::DOUBLE) / count(*) AS bits
+      FROM {0} WHERE chosen_prob > 0 GROUP BY {1}) scored"""
+ENTROPY = """SELECT o::TINYINT AS ord, array_to_string(toks[i:i + o - 1], ' ') AS state_key,
+       count(DISTINCT toks[i + o]) AS branches, round(entropy(toks[i + o]), 3) AS entropy_bits
+FROM docs, (VALUES (1), (2), (3)) AS v(o), unnest(range(1, len(toks) - o + 1)) AS u(i)
+GROUP BY ALL HAVING count(DISTINCT toks[i + o]) > 1"""
+RANKED = f"""sized AS MATERIALIZED (SELECT freq, count(*) AS m FROM vocab WHERE {REAL} GROUP BY freq),
+ranked AS MATERIALIZED (
+  SELECT token, vocab.freq, more + 1 AS rank
+  FROM vocab JOIN (SELECT a.freq, coalesce(sum(b.m), 0)::BIGINT AS more
+                   FROM sized a LEFT JOIN sized b ON b.freq > a.freq GROUP BY a.freq) r
+    ON r.freq = vocab.freq WHERE {REAL})"""
 SUMMARY = "SELECT ord, count(*) AS transitions, count(DISTINCT state_key) AS states FROM grown {0} GROUP BY ord"
 CHECKS = [
     "vocabulary.id unique", "vocabulary.token unique", "vocabulary not null", "documents.id unique",
@@ -154,6 +166,12 @@ CHECKS = [
     "generation_runs.run_id unique", "generation_steps key unique", "generation_steps.run_id known",
     "generation_steps.chosen_next_id known",
 ]
+# Walks recorded twice: ids in the order of (md5 bucket, run), then on from there.
+LOG = """numbered AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY substr(md5(run_id::VARCHAR), 1, 3), run_id) AS id, run_id, requested_order, max_tokens FROM prompts),
+log AS MATERIALIZED (
+  SELECT id + again * (SELECT count(*) FROM prompts) AS id, run_id, requested_order, max_tokens FROM numbered, (VALUES (0), (1)) AS v(again))"""
+LOGGED = "logged AS MATERIALIZED (SELECT l.id, s.* FROM log l JOIN steps s ON s.run_id = l.run_id)"
 STEP_COLUMNS = "run_id, step, state_key, order_used, next_token, chosen_prob, n_candidates"
 
 
@@ -170,27 +188,26 @@ def oracle_sql() -> dict[str, str]:
         "doc_token_counts": _with([DOCS], "SELECT doc_id, count(*) AS sentences, sum(len(toks))::BIGINT AS token_count FROM docs GROUP BY doc_id"),
         "vocab_freq": _with([DOCS, VOCAB], "SELECT * FROM vocab"),
         "tokenize_letters": _with([LETTERS], "SELECT doc_id, len(toks) AS n_tokens, array_to_string(toks, '|') AS tokens FROM lettered"),
-        "tokenize_punct": r"""SELECT doc_id, len(t) AS n_tokens, array_to_string(t, '|') AS tokens
-FROM (SELECT doc_id, regexp_extract_all(text, '[0-9A-Za-z]+|[!-/:-@\[-`{-~]') AS t FROM documents) x""",
+        "tokenize_punct": f"""SELECT doc_id, len(t) AS n_tokens, array_to_string(t, '|') AS tokens
+FROM (SELECT doc_id, regexp_extract_all(text, '{ALNUM_OR_PUNCT}') AS t FROM documents) x""",
         "ngrams_window": _with(model, "SELECT * FROM trans WHERE ord = 2"),
         "ngrams_added": _with([DOCS], """SELECT source, o::TINYINT AS ord, sum(greatest(len(toks) - o, 0))::BIGINT AS ngrams_added
 FROM docs, (VALUES (1), (2), (3)) AS v(o) GROUP BY ALL"""),
         "ngrams_unsegmented": _with([LETTERS, _grams("g", "lettered", [2])], "SELECT * FROM g"),
         "prompt_tokens": f"""SELECT conv_id, turn, CASE WHEN len(w) = 0 THEN '<s>' ELSE array_to_string(w, ' ') END AS history
-FROM (SELECT conv_id, turn, ({WORDS.format('text')})[1:36] AS w FROM conversations) p""",
+FROM (SELECT conv_id, turn, {WORDS.format('text')} AS w FROM conversations) p""",
         "source_sizes": "SELECT source, format_bytes(sum(n_chars)::BIGINT) AS size_text FROM documents GROUP BY source",
         "model_vocabulary": _with([DOCS, VOCAB, VOCAB_IDS], "SELECT id, token, freq FROM ids"),
         "transitions_ids": _with([*model, VOCAB, VOCAB_IDS], """SELECT ord, state_key, id AS next_id, count
 FROM trans JOIN ids ON token = next_token WHERE ord <= 2"""),
-        "zipf": _with([DOCS, VOCAB], f"""SELECT token, freq, rank() OVER (ORDER BY freq DESC) AS rank
-FROM vocab WHERE {REAL} ORDER BY rank, token LIMIT 30"""),
-        "vocab_rank": _with([DOCS, VOCAB], f"SELECT token, freq, rank() OVER (ORDER BY freq DESC) AS rank FROM vocab WHERE {REAL}"),
+        "zipf": _with([DOCS, VOCAB, RANKED], "SELECT token, freq, rank FROM ranked ORDER BY freq DESC, token LIMIT 30"),
+        "vocab_rank": _with([DOCS, VOCAB, RANKED], "SELECT token, freq, rank FROM ranked"),
         "state_totals": _with([*model, STATES], "SELECT * FROM states"),
         "next_distribution": _with(model, """SELECT ord, state_key, next_token, count,
        count::DOUBLE / sum(count) OVER s AS prob, count(*) OVER s AS n_candidates
-FROM trans WHERE ord <= 2 WINDOW s AS (PARTITION BY ord, state_key)"""),
-        "entropy": _with(model, ENTROPY + " ORDER BY entropy_bits DESC, ord, state_key LIMIT 20"),
-        "entropy_all_states": _with(model, ENTROPY),
+FROM trans WINDOW s AS (PARTITION BY ord, state_key)"""),
+        "entropy": _with([DOCS], ENTROPY + " ORDER BY entropy_bits DESC, ord, state_key LIMIT 20"),
+        "entropy_all_states": _with([DOCS], ENTROPY),
         "model_summary": _with(model, """SELECT count(*) AS transitions, count(DISTINCT (ord, state_key)) AS states
 FROM trans WHERE ord <= 2"""),
         "size": _with(GROWN, """SELECT g.ord, count(*) AS transitions, count(DISTINCT g.state_key) AS states,
@@ -204,6 +221,8 @@ GROUP BY g.ord"""),
 FROM (SELECT id, name, 1::TINYINT AS ord, n1 AS ngrams_added FROM ledger
       UNION ALL SELECT id, name, 2::TINYINT, n2 FROM ledger WHERE batch = 1) r
 WINDOW o AS (ORDER BY id, ord)"""),
+        "trained_sources": _with(GROWN, """SELECT 1::TINYINT AS ord, name, count(*) AS times FROM ledger GROUP BY name
+UNION ALL SELECT 2::TINYINT, name, count(*) FROM ledger WHERE batch = 1 GROUP BY name"""),
         "incremental_merge": _with(GROWN, "SELECT * FROM grown"),
         "train_guard": _with(GROWN, "SELECT id, name, token_count FROM ledger"),
         "vocab_ids": _with([*GROWN, """words AS (
@@ -214,13 +233,19 @@ WINDOW o AS (ORDER BY id, ord)"""),
         "prune_report": _with(GROWN, SUMMARY.format("WHERE count >= 2")),
         "compact_report": _with(GROWN, SUMMARY.format("")),
         "integrity": 'SELECT * FROM (VALUES ' + ", ".join(f"('{c}', 0::BIGINT)" for c in CHECKS) + ') AS v("check", violations)',
+        "integrity_faults": _with(WALK, "SELECT * FROM (VALUES " + ", ".join(
+            f"('{c}', 0::BIGINT)" for c in CHECKS if not c.startswith("generation")) + """) AS v("check", violations)
+UNION ALL SELECT 'generation_runs.run_id unique', count(*) FROM prompts WHERE run_id % 7 = 0
+UNION ALL SELECT 'generation_steps key unique', count(*) FROM steps WHERE run_id % 3 = 0
+UNION ALL SELECT 'generation_steps.run_id known', count(DISTINCT run_id) FROM steps WHERE run_id % 5 = 0
+UNION ALL SELECT 'generation_steps.chosen_next_id known', count(DISTINCT next_token) FROM steps WHERE step = 1"""),
         "backoff_lookup": _with([*model, STATES, HISTORY], """SELECT p.run_id, max(st.ord) AS order_used,
        arg_max(st.state_key, st.ord) AS state_key, arg_max(st.total, st.ord) AS total,
        arg_max(st.n_candidates, st.ord) AS n_candidates
 FROM (SELECT run_id, o::TINYINT AS o, array_to_string(hist[-o:], ' ') AS key
       FROM prompts, (VALUES (1), (2), (3)) AS v(o) WHERE o <= len(hist)) p
 JOIN states st ON st.ord = p.o AND st.state_key = p.key GROUP BY p.run_id"""),
-        "draw_ranges": _with([*model, RANGES], "SELECT * FROM ranges WHERE ord <= 2"),
+        "draw_ranges": _with([*model, RANGES], "SELECT * FROM ranges"),
         "forced_steps": _with([*model, STATES, MSGS, FORCED], "SELECT * FROM forced"),
         "backoff_stats": _with([*model, STATES, MSGS, FORCED], BACKOFF.format("forced")),
         "perplexity": _with([*model, STATES, MSGS, FORCED], PERPLEXITY.format("forced", "conv_id")),
@@ -231,13 +256,17 @@ JOIN states st ON st.ord = p.o AND st.state_key = p.key GROUP BY p.run_id"""),
         "generation_steps": _with([*WALK, VOCAB, VOCAB_IDS], """SELECT run_id, step, state_key, order_used, id AS chosen_next_id,
        chosen_prob, n_candidates FROM steps JOIN ids ON token = next_token"""),
         "detokenize": _with([*WALK, TEXTS], "SELECT * FROM texts"),
-        "run_text_files": _with([*WALK, TEXTS], "SELECT run_id, tokens, text FROM texts WHERE tokens > 2"),
-        "walk_backoff": _with(WALK, BACKOFF.format("steps")),
-        "walk_perplexity": _with(WALK, PERPLEXITY.format("steps", "run_id")),
+        "run_text_files": _with([*WALK, TEXTS], "SELECT run_id, tokens, text, tokens > 2 AS long_run FROM texts"),
+        "generation_log": _with([*WALK, LOG], """SELECT l.id, c.text AS seed, l.requested_order::TINYINT AS requested_order,
+       l.max_tokens::INTEGER AS max_tokens, count(s.step) AS steps, max(s.order_used) AS order_used
+FROM log l JOIN conversations c ON c.conv_id * 1000 + c.turn = l.run_id LEFT JOIN steps s ON s.run_id = l.run_id GROUP BY ALL"""),
+        "walk_backoff": _with([*WALK, LOG, LOGGED], BACKOFF.format("logged")),
+        "walk_perplexity": _with([*WALK, LOG, LOGGED], PERPLEXITY.format("logged", "id")),
         "chains_random_start": _with(CHAIN, "SELECT run_id, chain FROM chained"),
         "chain_lines": _with(CHAIN, "SELECT chain FROM chained"),
         "read_csv_text": _with([MSGS], "SELECT role AS source_id, count(*) AS sentences, sum(len(toks))::BIGINT AS token_count FROM msgs GROUP BY role"),
         "read_text_files": _with([DOCS, VOCAB], "SELECT * FROM vocab"),
+        "stream_split_source": _with([MSGS, _grams("g", "msgs", [1, 2])], "SELECT * FROM g"),
         "stream_incremental": _with([DOCS, MSGS, """both_tables AS (SELECT toks FROM docs UNION ALL SELECT toks FROM msgs)""",
                                      _grams("g", "both_tables", [1])], "SELECT * FROM g"),
     }

@@ -26,8 +26,11 @@ class DrawIndex:
 
     @classmethod
     def build(cls, transitions: DataFrame, path: str, buckets: int | None = None,
-              hub_fanout: int = HUB_FANOUT) -> DrawIndex:
-        """Write the index of a model's transitions (ord, state_key, next_token, count)."""
+              hub_fanout: int = HUB_FANOUT, version: str = "") -> DrawIndex:
+        """Write the index of a model's transitions (ord, state_key, next_token, count).
+
+        ``version`` names the state of the model, such as its last batch. It is stored with the bucket count.
+        """
         spark = transitions.sparkSession
         index = cls(spark, path, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
         index._write("states", state_totals(transitions), ["ord", "state_key"])
@@ -36,15 +39,21 @@ class DrawIndex:
         # Parquet. Without hubs the transitions are scanned once instead of three times.
         ranges = cumulative_ranges(transitions, None if hubs.isEmpty() else hubs)
         index._write("draws", draw_table(ranges), ["ord", "state_key", "slot"])
+        (spark.range(1).select(F.lit(index.buckets).alias("buckets"), F.lit(version).alias("version"))
+         .coalesce(1).write.mode("overwrite").parquet(f"{index.path}/about"))
         return index
 
     @classmethod
-    def open(cls, spark: SparkSession, path: str, buckets: int) -> DrawIndex:
-        """Name the tables of an index written by an earlier session, with its bucket count."""
-        index = cls(spark, path, buckets)
+    def open(cls, spark: SparkSession, path: str, version: str | None = None) -> DrawIndex:
+        """Name the tables of an index written by an earlier session. A ``version`` other than the stored one is an error."""
+        about = spark.read.schema("buckets int, version string").parquet(f"{path.rstrip('/')}/about").first()
+        if version is not None and version != about["version"]:
+            raise ValueError(f"the index is of version {about['version']!r}, not {version!r}")
+        index, buckets = cls(spark, path, about["buckets"]), about["buckets"]
         for name, columns, keys in (("states", _STATES, "ord, state_key"), ("draws", _DRAWS, "ord, state_key, slot")):
+            spark.sql(f"DROP TABLE IF EXISTS {index._table(name)}")  # an external table: its files stay
             spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {index._table(name)} ({columns}) USING parquet "
+                f"CREATE TABLE {index._table(name)} ({columns}) USING parquet "
                 f"CLUSTERED BY ({keys}) INTO {buckets} BUCKETS LOCATION '{index.path}/{name}'")
         return index
 

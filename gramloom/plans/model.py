@@ -6,6 +6,9 @@ Layout below the model's path::
     vocabulary/batch=<b>/         (id, token, freq) increments; id is set in a token's first row
     documents/batch=<b>/          one row per source trained
     training_runs/batch=<b>/      one row per source and order
+    generation_runs/batch=<b>/    one row per walk recorded, with its id
+    generation_steps/batch=<b>/   the step log of those walks
+    refused/key=<key>/            texts of a stream that the guard left out
     commits/                      one row per finished batch, written last
 
 A batch that fails leaves no commit row, so readers never see it and a retry overwrites it.
@@ -23,13 +26,18 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from gramloom.functions.tokens import MAX_ORDER
 from gramloom.operators.ranking import dense_ids
 from gramloom.operators.tally import LEDGER, VOCABULARY, tally
+from gramloom.session import fresh_dir
 
 _COUNTS = "ord tinyint, state_key string, next_token string, n long, batch string"
 _VOCABULARY = "id long, token string, freq long, batch string"
 _DOCUMENTS = "id long, name string, added_at timestamp, token_count long, batch string"
 _RUNS = "id long, document_id long, ord tinyint, ngrams_added long, ran_at timestamp, batch string"
 _COMMITS = ("commit_id long, batch string, kind string, commit_key string, "
-            "last_token_id long, last_document_id long, last_run_id long, committed_at timestamp")
+            "last_token_id long, last_document_id long, last_run_id long, last_generation_id long, committed_at timestamp")
+_GENERATIONS = "id long, run_id long, seed string, requested_order tinyint, max_tokens int, created_at timestamp, batch string"
+_STEPS = ("id long, run_id long, step int, state_key string, order_used tinyint, next_token string, chosen_prob double, "
+          "n_candidates long, batch string")
+NAMES_SENT = 100_000  # refused source names up to this many are sent to the texts
 
 # Which batches a reader starts from: the last one of these kinds, or the first batch.
 _COUNT_BASES = ("prune", "compact", "rebuild")
@@ -67,7 +75,7 @@ class TransitionModel:
 
     def _commit(self, last: Row | None, batch: str, kind: str, key: str | None, **ids: int) -> None:
         known = {n: getattr(last, n) if last else 0
-                 for n in ("last_token_id", "last_document_id", "last_run_id")}
+                 for n in ("last_token_id", "last_document_id", "last_run_id", "last_generation_id")}
         known.update(ids)
         (self.spark.range(1).select(
             F.lit(last.commit_id + 1 if last else 1).cast("long").alias("commit_id"),
@@ -130,14 +138,47 @@ class TransitionModel:
     def training_runs(self) -> DataFrame:
         return self._read("training_runs", _RUNS, self._batches((), ("train",))).drop("batch")
 
+    # ---- walks ---------------------------------------------------------------------
+
+    def record(self, runs: DataFrame, steps: DataFrame) -> str:
+        """Append walks to the model's log under ids that go on from the last; returns the batch.
+
+        ``runs`` and ``steps`` are those of :class:`~gramloom.plans.walk.Walks`, with run_id unique among these walks.
+        """
+        commits = self.commits()
+        last = commits[-1] if commits else None
+        base = last.last_generation_id or 0 if last else 0
+        batch = self._next_batch(last, "generate")
+        dense_ids(runs, "run_id", "id", base).select(
+            "id", "run_id", "seed", "requested_order", "max_tokens", F.current_timestamp().alias("created_at")
+        ).write.mode("overwrite").parquet(f"{self.path}/generation_runs/batch={batch}")
+        named = self._read("generation_runs", _GENERATIONS, [batch])
+        found = named.agg(F.count("*").alias("n"), F.countDistinct("run_id").alias("distinct")).first()
+        if found["n"] != found["distinct"]:
+            raise ValueError("run_id is not unique among these walks")
+        steps.join(named.select("id", "run_id"), "run_id").select(
+            "id", "run_id", "step", "state_key", "order_used", "next_token", "chosen_prob", "n_candidates"
+        ).write.mode("overwrite").parquet(f"{self.path}/generation_steps/batch={batch}")
+        self._commit(last, batch, "generate", None, last_generation_id=base + found["n"])
+        return batch
+
+    def generation_runs(self) -> DataFrame:
+        return self._read("generation_runs", _GENERATIONS, self._batches((), ("generate",))).drop("batch")
+
+    def generation_steps(self) -> DataFrame:
+        """The log of all walks recorded; ``id`` is the walk's."""
+        return self._read("generation_steps", _STEPS, self._batches((), ("generate",))).drop("batch")
+
     # ---- training ------------------------------------------------------------------
 
-    def train(self, corpus: DataFrame, k: int, force: bool = False, key: str | None = None) -> TrainReport:
+    def train(self, corpus: DataFrame, k: int, force: bool = False, key: str | None = None,
+              owner: str | None = None) -> TrainReport:
         """Add a corpus of (source_id, content) at all orders 1..k.
 
         Sources the model has are refused unless ``force`` is set; when nothing else is
         left, :class:`AlreadyTrained` is raised. ``key`` makes the call idempotent: when a
-        commit with that key exists, nothing is done.
+        commit with that key exists, nothing is done. Sources that came by keys of the form
+        ``owner:…`` are not refused, so that one stream may bring a source in several batches.
         """
         if not 1 <= k <= MAX_ORDER:
             raise ValueError(f"order must be 1..{MAX_ORDER}")
@@ -150,11 +191,8 @@ class TransitionModel:
         corpus = corpus.withColumn("source_id", F.coalesce("source_id", F.lit("")))
         refused = nobody
         if last and not force:
-            refused = (corpus.select(F.col("source_id").alias("name")).distinct()
-                       .join(self.documents().select("name"), "name", "left_semi"))
-            # The raw text is joined with the refused names only when there are some.
-            if not refused.isEmpty():
-                corpus = corpus.join(refused, corpus.source_id == refused.name, "left_anti")
+            refused, corpus = self._without_known(corpus, [
+                c.batch for c in commits if c.kind == "train" and not (owner and (c.commit_key or "").startswith(f"{owner}:"))])
 
         batch = self._next_batch(last, "train")
         (tally(corpus, k).write.mode("overwrite").partitionBy("ord")
@@ -176,6 +214,21 @@ class TransitionModel:
                      last_document_id=documents, last_run_id=runs)
         return TrainReport(batch, refused)
 
+    def _without_known(self, corpus: DataFrame, batches: list[str]) -> tuple[DataFrame, DataFrame]:
+        """Names of the corpus that these batches hold, found once and stored, and the corpus without them.
+
+        The names are sent to the texts, which stay where they are; beyond NAMES_SENT of them Spark chooses the join.
+        """
+        known = self._read("documents", _DOCUMENTS, batches).select("name")
+        folder = fresh_dir(self.spark, "refused")
+        corpus.select(F.col("source_id").alias("name")).distinct().join(known, "name", "left_semi").write.parquet(folder)
+        refused = self.spark.read.schema("name string").parquet(folder)
+        n = refused.count()
+        if not n:
+            return refused, corpus
+        names = F.broadcast(refused) if n <= NAMES_SENT else refused
+        return refused, corpus.join(names, corpus.source_id == names.name, "left_anti")
+
     def _write_documents(self, counts: DataFrame, batch: str, last: Row | None) -> int:
         base = last.last_document_id if last else 0
         sources = counts.where(F.col("ord") == LEDGER).select(

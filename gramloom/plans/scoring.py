@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from gramloom.operators.backoff import longest_known, suffix_keys
 from gramloom.operators.lookup import lookup
 from gramloom.operators.ngrams import CHUNK
+from gramloom.session import fresh_dir
 
 
 def forced_steps(sents: DataFrame, transitions: DataFrame, states: DataFrame, k: int, keys: list[str]) -> DataFrame:
@@ -17,7 +18,9 @@ def forced_steps(sents: DataFrame, transitions: DataFrame, states: DataFrame, k:
     without any known context ``order_used`` is NULL too.
     """
     place = [*keys, "sent_no", "pos"]
-    positions = _positions(sents, k, keys)
+    folder = fresh_dir(sents.sparkSession, "positions")
+    _positions(sents, k, keys).write.parquet(folder)  # read several times below, made once
+    positions = sents.sparkSession.read.parquet(folder)
     known = longest_known(
         suffix_keys(positions, place, "history", F.lit(k)), states, place).select(*place, "state.*")
     stepped = positions.select(*place, "next_token").join(known, place, "left")

@@ -99,6 +99,12 @@ def size(model: TransitionModel) -> DataFrame:
             .orderBy("ord"))
 
 
+def trained_sources(model: TransitionModel) -> DataFrame:
+    """(ord, name, times): the sources trained at each order, as rows, and how often."""
+    names = model.documents().select(F.col("id").alias("document_id"), "name")
+    return model.training_runs().join(names, "document_id").groupBy("ord", "name").agg(F.count(F.lit(1)).alias("times"))
+
+
 def growth(model: TransitionModel) -> DataFrame:
     """(run, name, ord, ngrams_added, cumulative_ngrams) in training order."""
     names = model.documents().select(F.col("id").alias("document_id"), "name")
@@ -108,7 +114,7 @@ def growth(model: TransitionModel) -> DataFrame:
 
 
 def stats(model: TransitionModel, name: str, steps: DataFrame | None = None) -> DataFrame:
-    """The report called ``name``; backoff and perplexity read the step log ``steps``."""
+    """The report called ``name``; backoff and perplexity read ``steps``, or the model's own log of walks."""
     of_model = {
         "zipf": lambda: zipf(model.vocabulary()),
         "entropy": lambda: entropy(model.transitions()),
@@ -119,7 +125,5 @@ def stats(model: TransitionModel, name: str, steps: DataFrame | None = None) ->
     if name in of_model:
         return of_model[name]()
     if name in of_steps:
-        if steps is None:
-            raise ValueError(f"'{name}' needs a step log")
-        return of_steps[name](steps)
+        return of_steps[name](steps if steps is not None else model.generation_steps())
     raise ValueError(f"unknown report '{name}'; available: {', '.join([*of_model, *of_steps])}")

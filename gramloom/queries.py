@@ -102,9 +102,17 @@ def _grown_model(spark: SparkSession, sf: str) -> TransitionModel:
     return _once(spark, sf, "grown", make)
 
 
+def _own_grown_model(spark: SparkSession, sf: str) -> TransitionModel:
+    """As the grown model, for a query that changes it."""
+    model = TransitionModel(spark, fresh_dir(spark, "changed"))
+    model.train(_documents(spark, sf), 2)
+    model.train(_messages(spark, sf), 1)
+    return model
+
+
 def _index(spark: SparkSession, sf: str) -> DrawIndex:
     return _once(spark, sf, "index", lambda: DrawIndex.build(
-        _model(spark, sf).transitions(), fresh_dir(spark, "index")))
+        _model(spark, sf).transitions(), fresh_dir(spark, "index"), version=_model(spark, sf).commits()[-1].batch))
 
 
 def _walks(spark: SparkSession, sf: str) -> Walks:
@@ -216,7 +224,7 @@ def state_totals(spark, sf):
 
 
 def next_distribution(spark, sf):
-    transitions = _model(spark, sf).transitions(2)
+    transitions = _model(spark, sf).transitions(K)
     return distribution(transitions, totals(transitions))
 
 
@@ -236,6 +244,10 @@ def size(spark, sf):
     return stats.size(_grown_model(spark, sf))
 
 
+def trained_sources(spark, sf):
+    return stats.trained_sources(_grown_model(spark, sf))
+
+
 def growth(spark, sf):
     return stats.growth(_grown_model(spark, sf))
 
@@ -260,15 +272,13 @@ def forced_retrain(spark, sf):
 
 
 def prune_report(spark, sf):
-    model = _grown_model(spark, sf)
+    model = _own_grown_model(spark, sf)
     model.prune(2)
-    report = stats.order_summary(model.transitions())
-    model.rebuild()  # the report stays bound to the pruned batch
-    return report
+    return stats.order_summary(model.transitions())
 
 
 def compact_report(spark, sf):
-    model = _grown_model(spark, sf)
+    model = _own_grown_model(spark, sf)
     model.prune(3)
     model.rebuild()
     model.compact()
@@ -280,6 +290,16 @@ def integrity(spark, sf):
     return integrity_report(model, walks.runs, id_steps(walks.steps, model.vocabulary()))
 
 
+def integrity_faults(spark, sf):
+    """The checks of a log with planted faults: steps doubled, steps of no walk, tokens unknown, walks doubled."""
+    walks, model = _walks(spark, sf), _model(spark, sf)
+    steps = id_steps(walks.steps, model.vocabulary())
+    doubled = steps.union(steps.where("run_id % 3 = 0"))
+    lost = doubled.withColumn("run_id", F.when(F.col("run_id") % 5 == 0, -F.col("run_id")).otherwise(F.col("run_id")))
+    unknown = lost.withColumn("chosen_next_id", F.when(F.col("step") == 1, -F.col("chosen_next_id")).otherwise(F.col("chosen_next_id")))
+    return integrity_report(model, walks.runs.union(walks.runs.where("run_id % 7 = 0")), unknown)
+
+
 # ---- backoff, draws, scoring -------------------------------------------------------
 
 def backoff_lookup(spark, sf):
@@ -291,7 +311,7 @@ def backoff_lookup(spark, sf):
 
 
 def draw_ranges(spark, sf):
-    transitions = _model(spark, sf).transitions(2)
+    transitions = _model(spark, sf).transitions(K)
     # A low hub threshold, so that both ways of summing take part.
     return cumulative_ranges(transitions, hub_states(totals(transitions), hub_fanout=500))
 
@@ -334,16 +354,36 @@ def detokenize(spark, sf):
 
 def run_text_files(spark, sf):
     out = fresh_dir(spark, "texts")
-    write_run_texts(run_texts(_walks(spark, sf)), out, min_tokens=2)
+    write_run_texts(run_texts(_walks(spark, sf)), out, long_run=2)
     return spark.read.parquet(out)
 
 
+def _logged(spark: SparkSession, sf: str) -> TransitionModel:
+    """A model whose log holds the walks twice, under ids that go on."""
+    def make() -> TransitionModel:
+        model = TransitionModel(spark, fresh_dir(spark, "logged"))
+        walks = _walks(spark, sf)
+        model.record(walks.runs, walks.steps)
+        model.record(walks.runs, walks.steps)
+        return model
+
+    return _once(spark, sf, "logged", make)
+
+
+def generation_log(spark, sf):
+    model = _logged(spark, sf)
+    runs = model.generation_runs().select("id", "seed", "requested_order", "max_tokens")
+    made = model.generation_steps().groupBy("id").agg(F.count(F.lit(1)).alias("steps"), F.max("order_used").alias("order_used"))
+    return runs.join(made, "id", "left").select("id", "seed", "requested_order", "max_tokens",
+                                                F.coalesce("steps", F.lit(0)).alias("steps"), "order_used")
+
+
 def walk_backoff(spark, sf):
-    return stats.backoff(_walks(spark, sf).steps)
+    return stats.stats(_logged(spark, sf), "backoff")
 
 
 def walk_perplexity(spark, sf):
-    return stats.perplexity(_walks(spark, sf).steps)
+    return stats.perplexity(_logged(spark, sf).generation_steps(), "id")
 
 
 def chains_random_start(spark, sf):
@@ -377,8 +417,20 @@ def read_text_files(spark, sf):
 def stream_incremental(spark, sf):
     model = TransitionModel(spark, fresh_dir(spark, "streamed"))
     stream = stream_corpus(spark, sf, "text string", glob="{documents,conversations}.parquet", files_per_batch=1)
-    query = train_from_stream(stream, model, 1, fresh_dir(spark, "offsets"), "arrivals")
-    query.awaitTermination()
+    train_from_stream(stream, model, 1, fresh_dir(spark, "offsets")).awaitTermination()
+    return model.transitions()
+
+
+def stream_split_source(spark, sf):
+    """Sources whose records arrive over several files: the messages, in three files by turn."""
+    arriving = fresh_dir(spark, "arriving")
+    for part in range(3):
+        (_table(spark, sf, "conversations").where(F.col("turn") % 3 == part).select("role", "text")
+         .coalesce(1).write.mode("append").parquet(arriving))
+    stream = (spark.readStream.schema("role string, text string").option("maxFilesPerTrigger", 1).parquet(arriving)
+              .select(F.col("role").alias("source_id"), F.col("text").alias("content")))
+    model = TransitionModel(spark, fresh_dir(spark, "split"))
+    train_from_stream(stream, model, 2, fresh_dir(spark, "offsets")).awaitTermination()
     return model.transitions()
 
 
@@ -390,5 +442,5 @@ ALL = [
     forced_retrain, prune_report, compact_report, integrity, backoff_lookup, draw_ranges, forced_steps,
     backoff_stats, perplexity, generation_runs, weighted_draw, batch_walk, generation_steps, detokenize,
     run_text_files, walk_backoff, walk_perplexity, chains_random_start, chain_lines, read_csv_text,
-    read_text_files, stream_incremental,
+    read_text_files, stream_incremental, stream_split_source, generation_log, trained_sources, integrity_faults,
 ]

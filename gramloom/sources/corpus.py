@@ -28,7 +28,7 @@ def load_corpus(
     """
     if isinstance(path, str):
         return spread(_read_one_kind(
-            spark, path, column, source_column, F.lit(path), whole_text, multiline_csv))
+            spark, path, column, source_column, F.lit(path), whole_text, multiline_csv), _extension(path) == "parquet")
     if not path:
         raise ValueError("no paths given")
     kinds: dict[str, list[str]] = {}
@@ -42,7 +42,7 @@ def load_corpus(
     corpus = parts[0]
     for part in parts[1:]:
         corpus = corpus.unionByName(part)
-    return spread(corpus)
+    return spread(corpus, set(kinds) == {"parquet"})
 
 
 def _extension(path: str) -> str:
@@ -68,12 +68,15 @@ def _read_one_kind(spark, path, column, source_column, name, whole_text, multili
     return rows.select(name.alias("source_id"), F.col(f"`{column}`").cast("string").alias("content"))
 
 
-def spread(corpus: DataFrame) -> DataFrame:
-    """Shuffle scanned rows only when the files give fewer tasks than the session has slots.
+def spread(corpus: DataFrame, count_rows: bool = True) -> DataFrame:
+    """Shuffle scanned rows when fewer tasks than the session has slots would hold any.
 
-    A large input arrives in far more splits than slots and is left where it is.
+    A Parquet file with few row groups is read in few tasks, however many splits it has, so rows are counted per
+    task, which Parquet answers from its footers. Other files split anywhere, and their splits are counted.
     """
     slots = corpus.sparkSession.sparkContext.defaultParallelism
-    if corpus.rdd.getNumPartitions() >= slots:
-        return corpus
-    return corpus.repartition(4 * slots)
+    if count_rows:
+        filled = corpus.select(F.spark_partition_id().alias("p")).agg(F.count_distinct("p").alias("n")).first()["n"]
+    else:
+        filled = corpus.rdd.getNumPartitions()
+    return corpus if filled >= slots else corpus.repartition(4 * slots)

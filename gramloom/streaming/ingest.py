@@ -2,38 +2,76 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gramloom.plans.model import AlreadyTrained, TransitionModel
 
 
-def stream_corpus(spark: SparkSession, folder: str, schema: str, column: str = "text",
-                  glob: str = "*.parquet", files_per_batch: int = 1000) -> DataFrame:
-    """A stream of (source_id, content) over the Parquet files that arrive in ``folder``.
+def stream_corpus(spark: SparkSession, folder: str, schema: str = "text string", column: str = "text",
+                  glob: str = "*.parquet", files_per_batch: int = 1000, kind: str = "parquet") -> DataFrame:
+    """A stream of (source_id, content) over the files of a ``kind`` (parquet, csv or text) that arrive in ``folder``.
 
-    Each file is a source, named by its URI.
+    Each file is a source, named by its URI. Text files come in pieces ended by a full stop, as when read at once.
     """
-    files = (spark.readStream.schema(schema).option("pathGlobFilter", glob)
-             .option("maxFilesPerTrigger", files_per_batch).parquet(folder))
+    reader = spark.readStream.option("pathGlobFilter", glob).option("maxFilesPerTrigger", files_per_batch)
+    if kind == "text":
+        files, column = reader.text(folder, lineSep="."), "value"
+    elif kind == "csv":
+        files = reader.schema(schema).csv(folder, header=True, multiLine=True, escape='"')
+    else:
+        files = reader.schema(schema).parquet(folder)
     return files.select(F.col("_metadata.file_path").alias("source_id"),
                         F.col(f"`{column}`").cast("string").alias("content"))
 
 
 def train_from_stream(stream: DataFrame, model: TransitionModel, k: int, checkpoint: str,
-                      name: str, force: bool = False) -> StreamingQuery:
+                      force: bool = False) -> StreamingQuery:
     """Start a query that trains ``model`` with every micro-batch, then stops when caught up.
 
-    The commit key (stream name, batch number) makes a replayed batch do nothing when it was
-    finished before, and a batch that failed half way left no commit row and is written anew.
-    A batch whose sources the model has is skipped, unless ``force`` is set.
+    An id kept beside the checkpoint and the batch number make the commit key: a batch that is offered again after it was
+    finished does nothing, and one that failed half way left no commit row and is written anew. A new checkpoint is a new
+    id, whose batches are all looked at. A source may arrive over several batches of one checkpoint. Sources that the
+    model has from elsewhere are refused, unless ``force`` is set, and their texts are kept in :func:`refused_texts`.
     """
+    owner = _owner(model.spark, checkpoint)
 
     def train_batch(batch: DataFrame, number: int) -> None:
         try:
-            model.train(batch, k, force=force, key=f"{name}:{number}")
+            refused = model.train(batch, k, force=force, key=f"{owner}:{number}", owner=owner).refused
+            left_out = batch.join(refused, F.coalesce(batch.source_id, F.lit("")) == refused.name, "left_semi")
+            some = not refused.isEmpty()
         except AlreadyTrained:
-            pass
+            left_out, some = batch, True
+        if some:
+            left_out.write.mode("overwrite").parquet(f"{model.path}/refused/key={owner}-{number}")
 
     return (stream.writeStream.foreachBatch(train_batch)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def refused_texts(model: TransitionModel) -> DataFrame:
+    """(source_id, content, key) of all texts that streams brought and the guard left out."""
+    schema = "source_id string, content string, key string"
+    try:
+        return model.spark.read.schema(schema).parquet(f"{model.path}/refused")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return model.spark.createDataFrame([], schema)
+
+
+def _owner(spark: SparkSession, checkpoint: str) -> str:
+    """The id of a checkpoint, written beside it when it is first used."""
+    folder = f"{checkpoint.rstrip('/')}-id"
+    try:
+        return spark.read.schema("id string").parquet(folder).first()["id"]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    name = uuid.uuid4().hex
+    spark.range(1).select(F.lit(name).alias("id")).coalesce(1).write.parquet(folder)
+    return name

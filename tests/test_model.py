@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from gramloom import AlreadyTrained, TransitionModel, load_corpus
 from gramloom.plans.checks import integrity
 from gramloom.plans.stats import stats
-from gramloom.streaming.ingest import stream_corpus, train_from_stream
+from gramloom.sources.corpus import spread
+from gramloom.streaming.ingest import refused_texts, stream_corpus, train_from_stream
 
 A = ("a", "The cat eats fish. The cat sleeps. The dog eats fish.")
 B = ("b", "A bird eats. The cat eats fish!")
@@ -142,12 +143,76 @@ def test_stream_equals_batch_and_replay_adds_nothing(spark, corpus, tmp_path, mo
 
     def run(offsets):
         stream = stream_corpus(spark, str(tmp_path / "in"), "text string", files_per_batch=1)
-        train_from_stream(stream, model, 2, str(tmp_path / offsets), "s").awaitTermination()
+        train_from_stream(stream, model, 2, str(tmp_path / offsets)).awaitTermination()
 
     run("offsets")
     batch = TransitionModel(spark, str(tmp_path / "batch"))
     batch.train(spark.read.parquet(str(tmp_path / "in")).select(F.lit("x").alias("source_id"), F.col("text").alias("content")), 2)
     assert rows(model.transitions()) == rows(batch.transitions())
     assert len(model.commits()) == 3
+    run("offsets")
+    assert len(model.commits()) == 3 and refused_texts(model).count() == 0
     run("offsets-lost")   # all batches are offered again
     assert rows(model.transitions()) == rows(batch.transitions()) and len(model.commits()) == 3
+    assert refused_texts(model).count() == 3
+
+
+def test_a_new_checkpoint_with_new_files_is_trained(spark, tmp_path, model):
+    for folder, text in (("one", A[1]), ("two", "Wholly other words here.")):
+        spark.createDataFrame([(text,)], "text string").coalesce(1).write.parquet(str(tmp_path / folder))
+        stream = stream_corpus(spark, str(tmp_path / folder))
+        train_from_stream(stream, model, 1, str(tmp_path / f"offsets-{folder}")).awaitTermination()
+    assert "wholly" in {r.token for r in model.vocabulary().collect()} and len(model.commits()) == 2
+
+
+def test_text_and_csv_streams_and_a_source_in_several_batches(spark, tmp_path, model):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "a.txt").write_text("One two. Three four", encoding="utf-8")
+    train_from_stream(stream_corpus(spark, str(tmp_path / "t"), glob="*.txt", kind="text"), model, 1, str(tmp_path / "o1")).awaitTermination()
+    spark.createDataFrame([('five, "six"',)], "text string").write.csv(str(tmp_path / "c"), header=True, escape='"')
+    train_from_stream(stream_corpus(spark, str(tmp_path / "c"), glob="*.csv", kind="csv"), model, 1, str(tmp_path / "o2")).awaitTermination()
+    assert {"one", "four", "five", "six"} <= {r.token for r in model.vocabulary().collect()}
+    for text in ("Seven.", "Eight."):
+        spark.createDataFrame([("s", text)], "source_id string, content string").coalesce(1).write.mode("append").parquet(str(tmp_path / "p"))
+    stream = spark.readStream.schema("source_id string, content string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "p"))
+    train_from_stream(stream, model, 1, str(tmp_path / "o3")).awaitTermination()
+    assert {"seven", "eight"} <= {r.token for r in model.vocabulary().collect()}
+
+
+def test_integrity_finds_planted_faults(corpus, model):
+    model.train(corpus(A), 2)
+
+    class Broken:
+        def __init__(self, **tables):
+            self.tables = tables
+
+        def __getattr__(self, name):
+            return (lambda: self.tables[name]) if name in self.tables else getattr(model, name)
+
+    def faults(**tables):
+        return {r["check"] for r in integrity(Broken(**tables)).collect() if r.violations}
+
+    words, docs, runs, moves = model.vocabulary(), model.documents(), model.training_runs(), model.transitions()
+    assert faults() == set()
+    assert faults(vocabulary=words.union(words.limit(1))) == {"vocabulary.id unique", "vocabulary.token unique"}
+    assert faults(vocabulary=words.where("token != 'cat'")) == {"transitions.next_token known"}
+    assert faults(vocabulary=words.withColumn("freq", F.lit(None).cast("long"))) == {"vocabulary not null"}
+    assert faults(documents=docs.limit(0)) == {"training_runs.document_id known"}
+    assert faults(documents=docs.withColumn("name", F.lit(None).cast("string"))) == {"documents not null"}
+    assert faults(training_runs=runs.union(runs)) == {"training_runs.id unique"}
+    assert faults(transitions=moves.union(moves.limit(1))) == {"transitions key unique"}
+    assert faults(transitions=moves.withColumn("count", F.lit(None).cast("long"))) == {"transitions not null"}
+
+
+def test_one_row_group_is_spread(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text")
+    filled = spread(frame).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert filled >= spark.sparkContext.defaultParallelism
+
+
+def test_reports_are_in_order(corpus, model):
+    model.train(corpus(A, B), 2)
+    sizes = [r.ord for r in stats(model, "size").collect()]
+    assert sizes == sorted(sizes)
+    entropies = [(-r.entropy_bits, r.ord, r.state_key) for r in stats(model, "entropy").collect()]
+    assert entropies == sorted(entropies)

@@ -8,7 +8,8 @@ from gramloom.operators.ngrams import count_transitions, ngrams
 from gramloom.operators.sentences import sentences
 from gramloom.plans.index import DrawIndex
 from gramloom.plans.scoring import forced_steps
-from gramloom.plans.stats import backoff, perplexity
+from gramloom.plans.model import TransitionModel
+from gramloom.plans.stats import backoff, perplexity, stats
 from gramloom.plans.walk import chains, generation_runs, run_texts, walk
 from gramloom.sources.sinks import write_chains, write_run_texts
 
@@ -60,8 +61,9 @@ def test_walks_follow_the_model(spark, transitions, index, tmp_path):
     report = backoff(walks.steps).collect()
     assert report[-1].order_used is None and report[-1].steps == len(steps) and report[-1].pct == 100.0
     assert perplexity(walks.steps).count() == 4
-    write_run_texts(run_texts(walks), str(tmp_path / "texts"), min_tokens=5)
-    assert {r.run_id for r in spark.read.parquet(str(tmp_path / "texts")).collect()} <= {1, 3}
+    write_run_texts(run_texts(walks), str(tmp_path / "texts"), long_run=5)
+    stored = {r.run_id: r.long_run for r in spark.read.parquet(str(tmp_path / "texts")).collect()}
+    assert set(stored) == set(texts) and {i for i, mark in stored.items() if mark} <= {1, 3}
 
 
 def test_same_seed_same_walks(spark, index, tmp_path):
@@ -74,10 +76,34 @@ def test_same_seed_same_walks(spark, index, tmp_path):
 
 
 def test_run_defaults(spark):
-    asked = spark.createDataFrame([(1, None, 2, 0), (2, "x", 3, None), (3, "x", 3, 2**30)],
+    asked = spark.createDataFrame([(1, None, 2, 0), (2, "x", 3, None), (3, "x " * 100, 3, 2**20 - 64)],
                                   "run_id long, seed string, requested_order int, max_tokens int")
     made = generation_runs(asked).orderBy("run_id").collect()
-    assert [(r.seed, r.max_tokens) for r in made] == [("", 50), ("x", 50), ("x", 2**20 - 64)]
+    assert [(r.seed, r.max_tokens) for r in made] == [("", 50), ("x", 50), ("x " * 100, 2**20 - 64)]
+    assert [len(r.history) for r in made] == [1, 1, 100]
+    too_long = spark.createDataFrame([(1, "x", 3, 2**30)], "run_id long, seed string, requested_order int, max_tokens int")
+    with pytest.raises(Exception, match="at most"):
+        generation_runs(too_long).collect()
+
+
+def test_prompts_out_of_bounds_are_refused(spark, index, tmp_path):
+    for order in (0, -1, 10, None):
+        bad = spark.createDataFrame([(1, "x", order, 3)], "run_id long, seed string, requested_order int, max_tokens int")
+        with pytest.raises(ValueError, match="order"):
+            walk(index, bad, 1, str(tmp_path / f"o{order}"))
+    with pytest.raises(ValueError, match="unique"):
+        walk(index, prompts(spark).union(prompts(spark)), 1, str(tmp_path / "twice"))
+
+
+def test_walks_are_recorded_with_ids_that_go_on(spark, index, tmp_path):
+    model = TransitionModel(spark, str(tmp_path / "m"))
+    assert model.generation_runs().count() == model.generation_steps().count() == 0
+    walks = walk(index, prompts(spark), 5, str(tmp_path / "w"))
+    model.record(walks.runs, walks.steps)
+    model.record(walks.runs, walks.steps)
+    assert sorted(r.id for r in model.generation_runs().collect()) == list(range(1, 11))
+    assert len({r.created_at for r in model.generation_runs().collect()}) == 2
+    assert stats(model, "backoff").collect()[-1].steps == 2 * walks.steps.count()
 
 
 def test_sentence_start_backs_off(spark, index, tmp_path):
@@ -87,8 +113,22 @@ def test_sentence_start_backs_off(spark, index, tmp_path):
 
 
 def test_reopened_index_and_lookup_plan(spark, index):
-    again = DrawIndex.open(spark, index.path, 4)
-    assert again.states().count() == index.states().count()
+    def steps_of(which, name):
+        made = walk(which, prompts(spark), 5, f"{index.path}-{name}").steps
+        return {r["run_id"]: r["n"] for r in made.groupBy("run_id").agg(F.count("*").alias("n")).collect()}
+
+    before = steps_of(index, "a")
+    for name in ("states", "draws"):
+        spark.sql(f"DROP TABLE {index._table(name)}")
+    with pytest.raises(ValueError, match="version"):
+        DrawIndex.open(spark, index.path, "another")
+    again = DrawIndex.open(spark, index.path, "")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert steps_of(again, "b") == before and again.buckets == 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     needed = spark.range(10).select((F.col("id") % 2).cast("tinyint").alias("ord"), F.col("id").cast("string").alias("state_key"))
     plan = needed.hint("merge").join(again.states().hint("merge"), ["ord", "state_key"])
     text = plan._jdf.queryExecution().executedPlan().toString()
