@@ -295,7 +295,7 @@ def integrity_faults(spark, sf):
     walks, model = _walks(spark, sf), _model(spark, sf)
     steps = id_steps(walks.steps, model.vocabulary())
     doubled = steps.union(steps.where("run_id % 3 = 0"))
-    lost = doubled.withColumn("run_id", F.when(F.col("run_id") % 5 == 0, -F.col("run_id")).otherwise(F.col("run_id")))
+    lost = doubled.withColumn("run_id", F.when(F.col("run_id") % 5 == 0, -F.col("run_id") - 1).otherwise(F.col("run_id")))
     unknown = lost.withColumn("chosen_next_id", F.when(F.col("step") == 1, -F.col("chosen_next_id")).otherwise(F.col("chosen_next_id")))
     return integrity_report(model, walks.runs.union(walks.runs.where("run_id % 7 = 0")), unknown)
 
