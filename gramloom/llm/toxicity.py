@@ -30,7 +30,7 @@ from gramloom.llm.common import over_texts, sample_of
 SAMPLE = 6_000  # documents of each class that the model learns from, at most about
 SHORTEST, LONGEST = 3, 12  # letters of the beginnings
 PRIOR = 2.0  # weight of the shorter unit's share, in documents
-BEYOND_CHANCE = 2.4  # standard errors
+BEYOND_CHANCE = 3.3  # signed root of the likelihood ratio; one unit in two thousand exceeds it by chance
 DRIFT = 0.08
 SIGNIFICANT = 0.01  # expectation below which a segment counts
 CACHED_WORDS = 300_000
@@ -188,8 +188,8 @@ def _odds(rows: list[tuple[str, int, int]], toxic_docs: int, clean_docs: int) ->
         s = (a + PRIOR * share.get(unit[:-1], 0.5)) / (a + b + PRIOR)
         share[unit] = s = min(max(s, 0.001), 0.999)
         value = math.log(s / (1 - s))
-        if value > BEYOND_CHANCE * math.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5)):
-            odds[unit] = value
+        if _root_of_ratio(toxic, clean, toxic_docs / (toxic_docs + clean_docs)) > BEYOND_CHANCE:
+            odds[unit] = max(0.0, value)
         elif value < 0.5 * odds.get(unit[:-1], 0.0):
             odds[unit] = max(0.0, value)
         elif unit[:-1] in odds:
@@ -197,6 +197,13 @@ def _odds(rows: list[tuple[str, int, int]], toxic_docs: int, clean_docs: int) ->
     return odds
 
 
+def _root_of_ratio(toxic: int, clean: int, share: float) -> float:
+    """Signed root of the log-likelihood ratio of counts against the share of toxic documents."""
+    n = toxic + clean
+    ratio = sum(2 * k * math.log(k / (n * p)) for k, p in ((toxic, share), (clean, 1 - share)) if k)
+    return math.copysign(math.sqrt(max(0.0, ratio)), toxic - n * share)
+
+
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Slope and intercept by Newton's method, both classes of equal weight, with a small penalty on the slope."""
     weight = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum())) * len(y)
