@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
+from gramloom.sources.corpus import spread
+
+__all__ = ["WORD", "fold", "free_name", "hash_share", "over_texts", "sample_of", "spread", "table", "texts_of"]
+
 WORD = r"[^\x20\x09-\x0D]+"  # the word of all contracts
 
 
@@ -21,12 +25,6 @@ def texts_of(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def spread(frame: DataFrame) -> DataFrame:
-    """The frame over as many tasks as the session has slots, when its files give fewer."""
-    slots = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(2 * slots) if frame.rdd.getNumPartitions() < slots else frame
-
-
 def over_texts(make: Callable[[], Callable[[list], pa.Array]], returns: str | DataType):
     """A vectorised function of one text column.
 

@@ -28,6 +28,7 @@ from gramloom.llm.common import hash_share, over_texts
 
 SAMPLE = 300  # given pages that the field learns from, at most about
 LAID_OUT, ROUNDS, RATE, PENALTY = 500, 150, 0.1, 1e-3
+DEEPEST = 300  # open elements that count as ancestors, as browsers bound them; text further down is kept
 MAX_BLOCKS = 120  # of a page learnt from; longer ones are not learnt from (they are decoded whole)
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][\w:-]*+)((?>\"[^\"]*\"|'[^']*'|[^'\">])*+)>", re.S)
@@ -140,7 +141,8 @@ def blocks(page: str | None) -> list[tuple[tuple, str, int]]:
         words = ""
         if found.group(3):
             words = " ".join((v[1] or v[2] or v[3]) if v[0].lower() != "hidden" else "hidden" for v in _ATTRIBUTE.findall(found.group(3)))
-        stack.append((name, words))
+        if len(stack) < DEEPEST:
+            stack.append((name, words))
     flush()
     return out
 

@@ -155,7 +155,7 @@ def test_blocks_decode_and_join_white_space():
     texts = [t for _, t, _ in html.blocks(PAGE)]
     assert texts == ["Home", "Buy this now.", "A title & more", "First para graph, with some bold words in it, and more. Next.",
                      "Second paragraph of the article, which goes on for a while.", "Nice one, thanks for that.", "© someone"]
-    for page in (None, "", "<", "<p", "<!--", "<script>x", "</div></p>", "<p class='a", "&#x110000; &bogus;", "<" * 3000):
+    for page in (None, "", "<", "<p", "<!--", "<script>x", "</div></p>", "<p class='a", "&#x110000; &bogus;", "<" * 3000, "<div>x" * 5000):
         html.blocks(page)
 
 

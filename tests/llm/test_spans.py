@@ -81,7 +81,7 @@ def test_trees_as_an_expression_equal_the_arrays(spark):
 
 def test_awkward_rows_and_empty_tables(spark, documents, awkward, tmp_path):
     for module, base in ((secrets, base_secrets), (pii, base_personal)):
-        rows = awkward + [(8, "1" * 20_000), (9, "1 " * 20_000), (10, "a" * 20_000 + "@b"), (11, "1.2.3.4" * 3000)]
+        rows = awkward + [(8, "1" * 20_000), (9, "1 " * 20_000), (10, "a" * 20_000 + "@b"), (11, "1.2.3.4" * 3000), (12, "a@b" + ".c" * 20_000)]
         got = module.find(documents(*rows), str(tmp_path / f"{module.__name__}1")).collect()
         assert len(got) == len(rows)
         assert all(not r["spans"] for r in got if r["doc_id"] in (1, 2, 3))
