@@ -108,14 +108,17 @@ def sets_of(text: Column) -> Column:
     return over_texts(make, "struct<n:bigint,digest:binary,sig:binary>")(text)
 
 
-def full_set(text: Column) -> Column:
-    """The sorted shingle hashes as bytes."""
+def marked_sets(slot: Column, text: Column, marks: bytes) -> Column:
+    """The sorted shingle hashes as bytes, of the rows whose slot is marked; null for the others."""
 
-    def make():
+    @F.arrow_udf("binary")
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         hashes = _Words()
-        return lambda texts: pa.array([shingles(t, hashes).tobytes() for t in texts], pa.binary())
+        for slots, texts in batches:
+            yield pa.array([shingles(t.as_py(), hashes).tobytes() if marks[s >> 3] >> (s & 7) & 1 else None
+                            for s, t in zip(slots.to_pylist(), texts)], pa.binary())
 
-    return over_texts(make, "binary")(text)
+    return run.asNondeterministic()(slot, text)
 
 
 def walks(reps: DataFrame) -> DataFrame:
@@ -220,23 +223,20 @@ def second_pairs(small: DataFrame, crowded: DataFrame, known: DataFrame) -> Data
     return pairs.union(both.select(_pair(x, y).alias("p")).select("p.*")).groupBy("a", "b").agg(F.min("bits").alias("bits"))
 
 
-def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is in ``ids``. A filter of fixed size, a mark for each hash of an id, spares most others the join."""
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS))
-    words = ids.select(slot.alias("s")).groupBy(F.expr("cast(s div 32 as int) as w")).agg(
-        F.expr("bit_or(shiftleft(1L, cast(s % 32 as int))) as bits")).collect()  # at most SLOTS / 32 rows
-    marks = bytearray(SLOTS)
-    for r in words:
-        for k in range(32):
-            marks[32 * r["w"] + k] = (r["bits"] >> k) & 1
-    marked = F.substring(F.lit(bytes(marks)), (slot + 1).cast("int"), F.lit(1)) == F.lit(b"\1")
-    return docs.where(marked).join(ids, "doc_id", "left_semi")
-
-
 def stored_sets(pairs: DataFrame, docs: DataFrame, folder: str) -> DataFrame:
-    """(doc_id, s): the full sets of the documents in pairs."""
+    """(doc_id, s): the full sets of the documents in pairs.
+
+    A filter of fixed size, a mark for each hash of an id, spares most other texts the work and the join.
+    """
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    only(docs, ids).select("doc_id", full_set(F.col("text")).alias("s")).write.parquet(folder)
+    slot = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).cast("int"), F.lit(0))
+    words = ids.select(slot.alias("s")).groupBy(F.expr("s div 32 as w")).agg(
+        F.expr("bit_or(shiftleft(1L, s % 32)) as bits")).collect()  # at most SLOTS / 32 rows
+    marks = bytearray(SLOTS // 8)
+    for r in words:
+        marks[4 * r["w"]:4 * r["w"] + 4] = r["bits"].to_bytes(4, "little")
+    found = docs.select("doc_id", marked_sets(slot, F.col("text"), bytes(marks)).alias("s")).where("s is not null")
+    found.join(ids, "doc_id", "left_semi").write.parquet(folder)
     return pairs.sparkSession.read.parquet(folder)
 
 
