@@ -123,7 +123,15 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
 
     table = (rows.select("toxic", F.explode(units_of("text")).alias("unit"))
              .groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")).where("n >= 4"))
-    units = _odds([(r["unit"], r["toxic"], r["n"] - r["toxic"]) for r in table.toLocalIterator()], sizes[1], sizes[0])
+    # Home come the units that are toxic beyond chance, and their extensions that are not.
+    table = table.withColumn("root", _root(F.col("toxic"), F.col("n"), sizes[1] / (sizes[0] + sizes[1])))
+    strong = [(r["unit"], r["toxic"], r["n"]) for r in table.where(F.col("root") > BEYOND_CHANCE).select("unit", "toxic", "n").collect()]
+    if not strong:
+        return Model({})
+    kept = rows.sparkSession.createDataFrame([(u,) for u, *_ in strong], "known string")
+    weak = table.where(F.col("root") <= BEYOND_CHANCE).join(F.broadcast(kept), F.expr("left(unit, length(unit) - 1)") == F.col("known"))
+    strong += [(r["unit"], r["toxic"], r["n"]) for r in weak.select("unit", "toxic", "n").collect()]
+    units = _odds([(u, toxic, n - toxic) for u, toxic, n in strong], sizes[1], sizes[0])
     model = Model(units)
 
     # The extreme-value law and the logistic curve, from the same bounded sample.
@@ -132,7 +140,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     clean = [r for r in seen if r["toxic"] == 0]
     words = sum(r["n"] for r in clean)
     means = np.array([r["grown"] for r in clean]).T @ np.array([r["n"] for r in clean]) / words if clean else None
-    model.scale = _root(means)
+    model.scale = _lambda_of(means)
     # P(no segment beyond s in n words) = exp(-K n exp(-lambda s)); K by maximum likelihood over clean documents
     model.search_space = max(1e-6, len(clean) / max(1e-9, sum(
         r["n"] * np.exp(-model.scale * max(0.0, r["most"])) for r in clean)))
@@ -166,7 +174,7 @@ def _evidence_only(model: Model):
     return lambda texts: pa.array([float(_evidence(own, model, t)[2]) for t in texts], pa.float64())
 
 
-def _root(means: np.ndarray | None) -> float:
+def _lambda_of(means: np.ndarray | None) -> float:
     """lambda > 0 with mean(exp(lambda * score)) = 1 over clean words: the largest grid value below one."""
     if means is None:
         return 1.0
@@ -197,8 +205,16 @@ def _odds(rows: list[tuple[str, int, int]], toxic_docs: int, clean_docs: int) ->
     return odds
 
 
-def _root_of_ratio(toxic: int, clean: int, share: float) -> float:
+def _root(toxic: Column, n: Column, share: float) -> Column:
     """Signed root of the log-likelihood ratio of counts against the share of toxic documents."""
+
+    def part(k: Column, p: float) -> Column:
+        return F.when(k > 0, 2 * k * F.log(k / (n * p))).otherwise(0.0)
+
+    return F.signum(toxic - n * share) * F.sqrt(F.greatest(part(toxic, share) + part(n - toxic, 1 - share), F.lit(0.0)))
+
+
+def _root_of_ratio(toxic: int, clean: int, share: float) -> float:
     n = toxic + clean
     ratio = sum(2 * k * math.log(k / (n * p)) for k, p in ((toxic, share), (clean, 1 - share)) if k)
     return math.copysign(math.sqrt(max(0.0, ratio)), toxic - n * share)
