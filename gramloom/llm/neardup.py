@@ -8,13 +8,14 @@ part at a step with the probability that their sets differ by, so alike ones ten
 set similarity join", 2018). Trees are independent and repeated, so that a pair at the threshold is missed by all with a
 probability of about (1 - 0.75 ** 4) ** TREES = 1e-4.
 
-Nodes of at most SMALL documents are compared exhaustively. Larger nodes branch on. What is large at the last step holds very
-similar documents: each is compared with one of them, another in each tree. Comparisons count differing bits of signatures;
+Nodes of at most SMALL documents are compared exhaustively. Larger nodes branch on, and in those that are large at the last
+step each document is compared with one of them, another in each tree. Comparisons count differing bits of signatures;
 near pairs are confirmed on the full sets. As only components are asked for, this goes in two passes. First every member of a
 node brings its nearest predecessor, which connects dense groups at linear cost. Then near pairs across the components so
-found are confirmed, the nearest pairs of two components first; nodes that one component fills are done. Where one component
-has the majority of a large node, the others are compared with all of the node, in blocks. Links are joined into components by star
-contraction.
+found are confirmed, the nearest pairs of two components first; nodes that one component fills are done. The other nodes that are
+large at the first depth can hold crowds, distinct texts that share a template or a long passage, and no depth parts those
+from links. All their documents together go through an exact join instead (``crowd_pairs``), so that what meets at the first
+depth is found, whatever the node's size. Links are joined into components by star contraction.
 
 Texts without words, empty or null, have the empty set and no links. Rows with a null doc_id cannot be named: their
 component is null and they are kept. Rows with the same doc_id are one document with several texts.
@@ -22,6 +23,7 @@ component is null and they are kept. Rows with the same doc_id are one document
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -41,6 +43,7 @@ SMALL = 16
 #: Bits of 128 that may differ: links of similarity 0.75 differ in 16 of them, with a standard deviation of 3.7.
 MAX_BITS = 31
 BLOCK = 512
+CLASS = 1.05  # ratio of the sizes of neighbouring classes
 NEAREST = 8  # pairs of two components confirmed before the others
 SLOTS = 1 << 20  # of the filter of ids
 LEAST = 75  # links: 100 * shared >= LEAST * united
@@ -121,6 +124,16 @@ def marked_sets(slot: Column, text: Column, marks: bytes) -> Column:
     return run.asNondeterministic()(slot, text)
 
 
+def _unpacked(sets: Column) -> Column:
+    """The hashes of stored sets."""
+
+    @F.arrow_udf("array<bigint>")
+    def run(packed: pa.Array) -> pa.Array:
+        return pa.array([np.frombuffer(p.as_py(), np.int64) for p in packed], pa.list_(pa.int64()))
+
+    return run(sets)
+
+
 def walks(reps: DataFrame) -> DataFrame:
     """For each (rep, sig) and tree: the nodes at the depths of STEPS, and the signature's 128 low bits."""
     names = [f"node{d}" for d in STEPS]
@@ -201,7 +214,7 @@ def first_pairs(small: DataFrame, dense: DataFrame) -> DataFrame:
     return chains.union(star).groupBy("a", "b").agg(F.min("bits").alias("bits"))
 
 
-def second_pairs(small: DataFrame, crowded: DataFrame, known: DataFrame) -> DataFrame:
+def second_pairs(small: DataFrame, crowded: DataFrame, known: DataFrame, docs: DataFrame, folder: str) -> DataFrame:
     """Near pairs (a, b, bits) across the known components (id, component)."""
     known = known.select(F.col("id").alias("rep"), "component")
 
@@ -212,23 +225,72 @@ def second_pairs(small: DataFrame, crowded: DataFrame, known: DataFrame) -> Data
     mixed = named(small).groupBy("node").agg(F.collect_list(member).alias("m"), F.min("component").alias("l"), F.max("component").alias("h"))
     pairs = mixed.where("l != h").select(F.explode(_across(F.col("m"))).alias("p")).select("p.*")
 
-    rows = named(crowded)
-    parts = rows.groupBy("node", "component").agg(F.count("*").alias("n"), F.max("size").alias("size")).where("2 * n > size and n < size")
-    rows = rows.drop("size").join(parts.select("node", F.col("component").alias("main"), "size"), "node")
+    exact = crowd_pairs(named(crowded), docs, folder)
+    return pairs.union(exact).groupBy("a", "b").agg(F.min("bits").alias("bits"))
+
+
+def _class(n: Column) -> Column:
+    """Class of a set size: the size itself below 32, then steps of CLASS."""
+    return F.when(n < 32, n).otherwise(32 + F.floor(F.log(n / 32) / math.log(CLASS))).cast("int")
+
+
+def _overlap(n: Column, m: Column) -> Column:
+    """How many shingles sets of n and m must share to be linked."""
+    return F.ceil(LEAST * (n + m) / (100 + LEAST) - 1e-6)
+
+
+def crowd_pairs(rows: DataFrame, docs: DataFrame, folder: str) -> DataFrame:
+    """All pairs (a, b, bits) that can be links across components, of those in large nodes that no component fills.
+
+    An exact prefix filter over the full sets (Xiao and others, "Efficient similarity joins for near duplicate detection",
+    2008). Shingles stand in one order: first those of a single component, then the others, rare ones before common ones.
+    Where linked sets first agree in it, each has as many shingles to come as they must share. What a crowd has
+    in common stands last, and is too little for that unless the crowd is at the threshold. A posting is a shingle and
+    two classes of sizes; in it, those outside its most frequent component are compared with all, in blocks.
+    """
+    mixed = rows.groupBy("node").agg(F.min("component").alias("l"), F.max("component").alias("h")).where("l != h").select("node")
+    crowd = _stored(rows.join(mixed, "node", "left_semi").select("rep", "b0", "b1", "component").distinct(), f"{folder}/crowd")
+    sets = stored_sets(crowd.select(F.col("rep").alias("doc_id")).distinct(), docs, f"{folder}/crowd_sets")
+    of_rep = crowd.select("rep", "component").distinct()
+    # an id can have several texts, which are ranked each on its own
+    held = sets.withColumnRenamed("doc_id", "rep").join(of_rep, "rep").select(
+        "rep", "component", F.xxhash64("s").alias("text"), F.explode(_unpacked(F.col("s"))).alias("shingle"))
+    own = Window.partitionBy("shingle")
+    held = held.select("rep", "text", "shingle", F.count("*").over(own).alias("held"),
+                       (F.min("component").over(own) != F.max("component").over(own)).alias("shared")).where("shared")
+    ranked = held.withColumn("r", F.row_number().over(Window.partitionBy("rep", "text").orderBy(F.desc("held"), "shingle")))
+    sizes = sets.select(F.col("doc_id").alias("rep"), F.xxhash64("s").alias("text"), (F.octet_length("s") / 8).cast("bigint").alias("n")).distinct()
+    n, r, other = F.col("n"), F.col("r"), F.col("other")
+    posts = ranked.select("rep", "text", "shingle", "r").join(sizes, ["rep", "text"]).where(100 * r >= LEAST * n)
+    posts = posts.withColumn("class", _class(n)).withColumn("other", F.explode(F.sequence(
+        _class(F.ceil(LEAST * n / 100)), _class(F.floor(100 * n / LEAST)))))
+    least = F.when(other < 32, other).otherwise(F.floor(32 * F.pow(F.lit(CLASS), other - 32) - 1e-6))
+    posts = posts.where(r >= _overlap(n, least)).join(crowd, "rep")
+    posts = _stored(posts.select(F.xxhash64("shingle", F.least("class", "other"), F.greatest("class", "other")).alias("post"), "class", "other",
+                                 F.struct("rep", "b0", "b1", "component", "n", "r").alias("x")), f"{folder}/posts")
+
+    parts = posts.groupBy("post", F.col("x.component").alias("component")).agg(F.count("*").alias("k"))
+    parts = parts.groupBy("post").agg(F.sum("k").alias("size"), F.max("k").alias("most"), F.max_by("component", F.struct("k", "component")).alias("main"))
+    posts = posts.join(parts.where("most < size").drop("most"), "post")
     blocks = F.ceil(F.col("size") / BLOCK)
-    members = rows.withColumn("block", F.pmod(F.xxhash64("rep"), blocks)).select("node", "block", member.alias("x"))
-    others = rows.where("component != main").withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1))).select("node", "block", member.alias("y"))
+    members = posts.select("post", F.pmod(F.xxhash64("x.rep"), blocks).alias("block"), "class", "x")
+    others = posts.where("x.component != main").select("post", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("block"),
+                                                       F.col("other").alias("class"), F.col("x").alias("y"))
     x, y = F.col("x"), F.col("y")
-    both = members.join(others, ["node", "block"]).where((x["component"] != y["component"]) & (_distance(x, y) <= MAX_BITS))
-    return pairs.union(both.select(_pair(x, y).alias("p")).select("p.*")).groupBy("a", "b").agg(F.min("bits").alias("bits"))
+    both = members.join(others, ["post", "block", "class"]).where(
+        (x["component"] != y["component"]) & (F.least(x["r"], y["r"]) >= _overlap(x["n"], y["n"])))
+    return both.select(_pair(x, y).alias("p")).select("p.*")
+
+
+def ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
 
 
-def stored_sets(pairs: DataFrame, docs: DataFrame, folder: str) -> DataFrame:
-    """(doc_id, s): the full sets of the documents in pairs.
+def stored_sets(ids: DataFrame, docs: DataFrame, folder: str) -> DataFrame:
+    """(doc_id, s): the full sets of the documents of ids.
 
     A filter of fixed size, a mark for each hash of an id, spares most other texts the work and the join.
     """
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     slot = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).cast("int"), F.lit(0))
     words = ids.select(slot.alias("s")).groupBy(F.expr("s div 32 as w")).agg(
         F.expr("bit_or(shiftleft(1L, s % 32)) as bits")).collect()  # at most SLOTS / 32 rows
@@ -237,7 +299,7 @@ def stored_sets(pairs: DataFrame, docs: DataFrame, folder: str) -> DataFrame:
         marks[4 * r["w"]:4 * r["w"] + 4] = r["bits"].to_bytes(4, "little")
     found = docs.select("doc_id", marked_sets(slot, F.col("text"), bytes(marks)).alias("s")).where("s is not null")
     found.join(ids, "doc_id", "left_semi").write.parquet(folder)
-    return pairs.sparkSession.read.parquet(folder)
+    return docs.sparkSession.read.parquet(folder)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -310,14 +372,14 @@ def near_duplicates(docs: DataFrame, folder: str) -> DataFrame:
     classes = spark.read.parquet(f"{folder}/classes")
     small, dense, crowded = grown(walks(classes), folder)
     pairs = _stored(first_pairs(small, dense), f"{folder}/pairs1")
-    links = _stored(confirmed(pairs, stored_sets(pairs, docs, f"{folder}/sets1")), f"{folder}/links1")
+    links = _stored(confirmed(pairs, stored_sets(ends(pairs), docs, f"{folder}/sets1")), f"{folder}/links1")
     known = components(links, f"{folder}/known1")
 
     # across components: the nearest pairs of each two, then all of those still apart
-    pairs = second_pairs(small, crowded, known).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+    pairs = second_pairs(small, crowded, known, docs, folder).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
     pairs = _stored(_between(pairs, known).withColumn("rank", F.row_number().over(
         Window.partitionBy("low", "high").orderBy("bits", "a", "b"))), f"{folder}/pairs2")
-    sets = stored_sets(pairs, docs, f"{folder}/sets2")
+    sets = stored_sets(ends(pairs), docs, f"{folder}/sets2")
     nearest = _stored(confirmed(pairs.where(f"rank <= {NEAREST}"), sets), f"{folder}/links2")
     again = known.select(F.col("component").alias("a"), F.col("id").alias("b")).where("a != b").union(nearest)
     known = components(again, f"{folder}/known2")

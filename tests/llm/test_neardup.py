@@ -62,6 +62,13 @@ def test_a_large_group_of_near_copies_is_joined(spark, documents, folder, prose)
     assert {r["doc_id"]: r["component_id"] for r in found(spark, documents, folder, rows)} == {i: c for i, (_, c) in want.items()}
 
 
+def test_links_inside_a_crowd_of_other_texts_are_found(spark, documents, folder, crowd):
+    rows = crowd(400, 40)
+    want = brute(rows)
+    assert Counter(Counter(c for _, c in want.values()).values()) == {1: 360, 2: 40}
+    assert {r["doc_id"]: r["component_id"] for r in found(spark, documents, folder, rows)} == {i: c for i, (_, c) in want.items()}
+
+
 def test_awkward_rows(spark, documents, folder, awkward):
     got = found(spark, documents, folder, awkward)
     assert len(got) == len(awkward)
