@@ -38,6 +38,11 @@ def test_copies_go_and_secrets_are_covered(spark, documents, awkward):
     assert corpus_pipeline.without_secrets(spark, docs, SF).count() == docs.count()
 
 
+def test_copies_inside_a_crowd_go_and_the_crowd_stays(spark, documents, crowd):
+    kept = corpus_pipeline.without_copies(spark, documents(*crowd(400, 40)), SF)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [2 * i for i in range(400)]
+
+
 def test_empty_tables_pass(spark, documents):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, documents(), SF).count() == 0
