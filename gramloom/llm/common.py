@@ -11,7 +11,7 @@ from pyspark.sql.types import DataType
 
 from gramloom.sources.corpus import spread
 
-__all__ = ["WORD", "fold", "free_name", "hash_share", "over_texts", "sample_of", "spread", "table", "texts_of"]
+__all__ = ["WORD", "fold", "free_name", "hash_share", "over_texts", "row_share", "sample_of", "spread", "table", "texts_of"]
 
 WORD = r"[^\x20\x09-\x0D]+"  # the word of all contracts
 
@@ -50,6 +50,12 @@ def hash_share(column: Column, share: float) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
 
 
+def row_share(id_column: str, text_column: str, share: float) -> Column:
+    """As hash_share of the ids, but rows without an id are chosen by their text, since all nulls have one hash."""
+    text = F.col(text_column)
+    return F.when(F.col(id_column).isNull(), hash_share(text, share)).otherwise(hash_share(F.col(id_column), share))
+
+
 def free_name(frame: DataFrame, stem: str) -> str:
     """The stem, with underscores before it until no column of the frame has that name."""
     taken = {c.lower() for c in frame.columns}

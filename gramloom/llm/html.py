@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gramloom.llm.common import hash_share, over_texts
+from gramloom.llm.common import over_texts, row_share
 
 SAMPLE = 300  # given pages that the field learns from, at most about
 LAID_OUT, ROUNDS, RATE, PENALTY = 500, 150, 0.1, 1e-3
@@ -305,12 +305,18 @@ def laid_out(texts: list[str], count: int) -> list[tuple[np.ndarray, np.ndarray]
     return out
 
 
+def sample(pages: DataFrame, n: int) -> DataFrame:
+    """(page_id, html) of about SAMPLE of n pages, and of 2 * SAMPLE at most, also where many share an id."""
+    chosen = pages.where(F.col("html").isNotNull() & row_share("page_id", "html", min(1.0, SAMPLE / max(n, 1)))).select("page_id", "html")
+    return chosen.orderBy(F.xxhash64("page_id", "html")).limit(2 * SAMPLE)
+
+
 def learn(pages: DataFrame) -> Field:
     """The field, from about SAMPLE of the pages (page_id, html), chosen by hash, and from laid-out pages."""
     n = pages.count()
-    seen = pages.where(F.col("html").isNotNull() & hash_share(F.col("page_id"), min(1.0, SAMPLE / max(n, 1)))).select("page_id", "html").collect()
+    seen = sample(pages, n).collect()
     known, given, texts = _Paths(), [], []
-    for row in sorted(seen):
+    for row in sorted(seen, key=lambda r: (r["page_id"] is not None, 0 if r["page_id"] is None else r["page_id"], r["html"])):
         found = blocks(row["html"])
         labels = given_labels(found) if found else None
         if labels is not None:

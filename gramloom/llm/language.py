@@ -14,10 +14,10 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gramloom.llm.common import hash_share, over_texts
+from gramloom.llm.common import over_texts, row_share
 
 LEARNT_DOCS = 120  # labelled documents of a language, at most about
 LEARNT_CHARS = 40_000  # characters of a language, at most: texts in order of hash, the last one cut
@@ -80,8 +80,10 @@ def learn(labelled: DataFrame) -> dict[str, str]:
         return {}
     chosen = F.lit(False)
     for r in counts:
-        chosen |= (F.col("lang") == r["lang"]) & hash_share(F.col("doc_id"), min(1.0, LEARNT_DOCS / r["n"]))
-    picked = rows.where(chosen).select("lang", F.substring("text", 1, LEARNT_CHARS).alias("text"), F.xxhash64("doc_id").alias("h"))
+        chosen |= (F.col("lang") == r["lang"]) & row_share("doc_id", "text", min(1.0, LEARNT_DOCS / r["n"]))
+    # rows of one hot id are chosen all or none, so the number that comes home has a bound of its own
+    ranked = rows.where(chosen).withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"))))
+    picked = ranked.where(F.col("rank") <= 2 * LEARNT_DOCS).select("lang", F.substring("text", 1, LEARNT_CHARS).alias("text"), F.xxhash64("doc_id").alias("h"))
     found: dict[str, list[str]] = {r["lang"]: [] for r in counts}
     for r in sorted(picked.collect(), key=lambda r: (r["lang"], r["h"], r["text"])):
         found[r["lang"]] += _WORD.findall(r["text"].lower())

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gramloom.llm import html, language, mixing, quality, toxicity
+from gramloom.llm.common import row_share
 
 SF = "/root/testdata/sf0.01"
 
@@ -42,6 +43,13 @@ def test_languages_of_awkward_rows(spark, documents, awkward):
     assert documents((1, "word")).select(language.identify(F.col("text"), {}).alias("f")).first()["f"]["lang"] == "und"
 
 
+@pytest.mark.parametrize("hot", [None, 5])
+def test_languages_of_a_hot_or_null_id_are_sampled(spark, hot, monkeypatch):
+    monkeypatch.setattr(language, "row_share", lambda i, t, share: F.lit(True) if hot else row_share(i, t, share))  # the hot id is chosen
+    labelled = spark.range(3000).select(F.lit(hot).cast("long").alias("doc_id"), F.format_string("w%04d", "id").alias("text"), F.lit("en").alias("lang"))
+    assert 60 <= len(language.learn(labelled)["en"].split()) <= 2 * language.LEARNT_DOCS
+
+
 def test_language_of_held_out_documents(spark):
     from gramloom.llm.queries import op6_language
     truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
@@ -187,6 +195,13 @@ def test_field_on_unseen_layouts_and_pages(spark):
 
 # ---- mixing ------------------------------------------------------------------------
 
+@pytest.mark.parametrize("same", [None, 5])
+def test_pages_of_a_hot_or_null_id_are_sampled(spark, same, monkeypatch):
+    monkeypatch.setattr(html, "row_share", lambda i, t, share: F.lit(True) if same else row_share(i, t, share))
+    pages = spark.range(9000).select(F.lit(same).cast("long").alias("page_id"), F.format_string("<p>%d</p>", "id").alias("html"))
+    assert html.SAMPLE / 2 <= html.sample(pages, 9000).count() <= 2 * html.SAMPLE
+
+
 def test_rates_meet_targets_as_a_solver_would(spark):
     rng = np.random.default_rng(5)
     p = rng.dirichlet([0.4, 0.4, 0.4], 300)
