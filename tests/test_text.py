@@ -35,7 +35,7 @@ def test_prompt_history(spark):
     assert one(spark, prompt_history(F.col("x")), x="The CITY, 7") == ["the", "city"]
     assert one(spark, prompt_history(F.col("x")), x=" 12 ") == ["<s>"]
     assert one(spark, prompt_history(F.lit(None).cast("string"))) == ["<s>"]
-    assert len(one(spark, prompt_history(F.col("x")), x="w " * 50)) == 36
+    assert len(one(spark, prompt_history(F.col("x")), x="w " * 50)) == 50  # whole prompts: no cap on the words a walk starts from
 
 
 def test_format_bytes_cuts(spark):
