@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gramloom.llm import bpe, fingerprint, html, language, mixing, neardup, pii, quality, secrets, toxicity
+from gramloom.llm import bpe, fingerprint, html, language, mixing, neardup, pii, quality, search, secrets, toxicity
 from gramloom.llm.common import fold, spread, table, texts_of
 from gramloom.llm.spans import listed
 from gramloom.session import fresh_dir
@@ -129,5 +129,33 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("found.passages").alias("passages"))
 
 
-ALL = [op1_html, op2_fingerprint, op3_mixing, op4_neardup, op5_quality, op6_language, op7_secrets, op8_pii, op9_toxicity, op10_bpe]
-ORACLES: dict[str, str] = {}
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of all rows of documents for every benchmark item."""
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), spark)
+
+
+ALL = [op1_html, op2_fingerprint, op3_mixing, op4_neardup, op5_quality, op6_language, op7_secrets, op8_pii, op9_toxicity, op10_bpe,
+       op13_search]
+
+_TERMS = r"regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), " \
+         r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+ORACLES: dict[str, str] = {
+    "op13_search": f"""
+WITH d AS (SELECT row_number() OVER () AS key, doc_id, {_TERMS.format('text')} AS t FROM documents),
+dn AS (SELECT key, doc_id, len(t) AS n FROM d WHERE len(t) > 0),
+tot AS (SELECT count(*) AS big_n, sum(n) AS big_l FROM dn),
+tf AS (SELECT key, term, count(*) AS tf FROM (SELECT key, unnest(t) AS term FROM d WHERE len(t) > 0) GROUP BY key, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+q AS (SELECT item_id, term, count(*) AS q FROM (SELECT item_id, unnest({_TERMS.format('text')}) AS term FROM benchmark)
+      GROUP BY item_id, term),
+w AS (SELECT q.item_id, q.term, q.q, CAST(floor(1000 * ln((2.0 * tot.big_n + 2) / (2.0 * df.df + 1))) AS BIGINT) AS w
+      FROM q JOIN df USING (term), tot),
+s AS (SELECT w.item_id, dn.key, dn.doc_id,
+             sum(w.q * w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * (25 + (75 * dn.n * tot.big_n) // tot.big_l)))) AS score
+      FROM w JOIN tf USING (term) JOIN dn USING (key), tot GROUP BY w.item_id, dn.key, dn.doc_id),
+r AS (SELECT item_id, doc_id, score,
+             row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT CAST(item_id AS BIGINT) AS item_id, CAST(rank AS INTEGER) AS rank, CAST(doc_id AS BIGINT) AS doc_id,
+       CAST(score AS BIGINT) AS score FROM r WHERE rank <= 10""",
+}
