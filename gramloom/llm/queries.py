@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gramloom.llm import bpe, fingerprint, html, language, mixing, neardup, pii, quality, search, secrets, toxicity
+from gramloom.llm import bpe, fingerprint, html, language, merkle, mixing, neardup, pii, quality, search, secrets, toxicity
 from gramloom.llm.common import fold, spread, table, texts_of
 from gramloom.llm.spans import listed
 from gramloom.session import fresh_dir
@@ -129,13 +129,25 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("found.passages").alias("passages"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents, and whether each row's proof still gives the root after tampering.
+
+    Where 7 divides the unsigned crc32 of the decimal doc_id, the tampered row has n_chars + 1 (nulls stay).
+    """
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("long").cast("string")), F.lit(7)) == 0
+    fields = {f: F.col(f) for f in merkle.FIELDS}
+    fields["n_chars"] = F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    return merkle.manifest(docs, merkle.leaf(fields), spark)
+
+
 def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of all rows of documents for every benchmark item."""
     return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), spark)
 
 
 ALL = [op1_html, op2_fingerprint, op3_mixing, op4_neardup, op5_quality, op6_language, op7_secrets, op8_pii, op9_toxicity, op10_bpe,
-       op13_search]
+       op12_merkle, op13_search]
 
 _TERMS = r"regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), " \
          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
