@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gramloom.llm import bpe, fingerprint, html, language, merkle, mixing, neardup, pii, quality, search, secrets, toxicity
+import public_tokenizers
+
+from gramloom.llm import bpe, fingerprint, html, language, merkle, mixing, neardup, packing, pii, quality, search, secrets, toxicity
 from gramloom.llm.common import fold, spread, table, texts_of
 from gramloom.llm.spans import listed
 from gramloom.session import fresh_dir
@@ -129,6 +131,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("found.passages").alias("passages"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut into pieces and packed into sequences of at most 2048 ids."""
+    docs = spread(texts_of(table(spark, sf_dir, "documents")))
+    return packing.packed_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), spark)
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest of all documents, and whether each row's proof still gives the root after tampering.
 
@@ -147,7 +155,7 @@ def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ALL = [op1_html, op2_fingerprint, op3_mixing, op4_neardup, op5_quality, op6_language, op7_secrets, op8_pii, op9_toxicity, op10_bpe,
-       op12_merkle, op13_search]
+       op11_packing, op12_merkle, op13_search]
 
 _TERMS = r"regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), " \
          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
