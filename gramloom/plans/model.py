@@ -48,6 +48,10 @@ class AlreadyTrained(ValueError):
     """Every source of the corpus is in the model already."""
 
 
+class EmptyCorpus(ValueError):
+    """The corpus holds no record with a token."""
+
+
 @dataclass(frozen=True)
 class TrainReport:
     """What a training call did; the tables themselves stay distributed."""
@@ -207,7 +211,7 @@ class TransitionModel:
         if not documents:
             if not refused.isEmpty():
                 raise AlreadyTrained("every source is in this model; force=True trains it again")
-            raise ValueError("the corpus holds no records")
+            raise EmptyCorpus("the corpus holds no records")
         tokens = self._write_vocabulary(counts, batch, last)
         runs = self._write_runs(counts, batch, last, k)
         self._commit(last, batch, "train", key, last_token_id=tokens,

@@ -422,15 +422,18 @@ def stream_incremental(spark, sf):
 
 
 def stream_split_source(spark, sf):
-    """Sources whose records arrive over several files: the messages, in three files by turn."""
-    arriving = fresh_dir(spark, "arriving")
-    for part in range(3):
-        (_table(spark, sf, "conversations").where(F.col("turn") % 3 == part).select("role", "text")
-         .coalesce(1).write.mode("append").parquet(arriving))
-    stream = (spark.readStream.schema("role string, text string").option("maxFilesPerTrigger", 1).parquet(arriving)
+    """Sources whose records arrive over several batches: the messages, in three parts by turn (null turns in part 0).
+
+    Each part is written by its own tasks, then the stream catches up from the same checkpoint: a part a batch.
+    """
+    arriving, offsets = fresh_dir(spark, "arriving"), fresh_dir(spark, "offsets")
+    stream = (spark.readStream.schema("role string, text string").option("recursiveFileLookup", "true").parquet(arriving)
               .select(F.col("role").alias("source_id"), F.col("text").alias("content")))
     model = TransitionModel(spark, fresh_dir(spark, "split"))
-    train_from_stream(stream, model, 2, fresh_dir(spark, "offsets")).awaitTermination()
+    for part in range(3):
+        (_table(spark, sf, "conversations").where(F.coalesce(F.col("turn") % 3, F.lit(0)) == part).select("role", "text")
+         .write.parquet(f"{arriving}/part={part}"))
+        train_from_stream(stream, model, 2, offsets).awaitTermination()
     return model.transitions()
 
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
+import json
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gramloom.plans.model import AlreadyTrained, TransitionModel
+from gramloom.plans.model import AlreadyTrained, EmptyCorpus, TransitionModel
 
 
 def stream_corpus(spark: SparkSession, folder: str, schema: str = "text string", column: str = "text",
@@ -32,22 +32,34 @@ def train_from_stream(stream: DataFrame, model: TransitionModel, k: int, checkpo
                       force: bool = False) -> StreamingQuery:
     """Start a query that trains ``model`` with every micro-batch, then stops when caught up.
 
-    An id kept beside the checkpoint and the batch number make the commit key: a batch that is offered again after it was
-    finished does nothing, and one that failed half way left no commit row and is written anew. A new checkpoint is a new
-    id, whose batches are all looked at. A source may arrive over several batches of one checkpoint. Sources that the
-    model has from elsewhere are refused, unless ``force`` is set, and their texts are kept in :func:`refused_texts`.
+    The commit key of a batch is the streaming query's id, which Spark keeps in the checkpoint's own metadata, the
+    batch number and a fingerprint of the batch's sources (their number and the sum of their hashes). A batch that is
+    offered again after it was finished does nothing; one that failed half way left no commit row and is written anew.
+    A new or deleted checkpoint is a new query id, whose batches are all looked at, and a batch number that comes back
+    with other files is another key. An empty batch, or one without a single token, commits nothing and lets the
+    stream go on. A source may arrive over several batches of one checkpoint. Sources that the model has from
+    elsewhere are refused, unless ``force`` is set, and their texts are kept in :func:`refused_texts`.
     """
-    owner = _owner(model.spark, checkpoint)
+    owner: list[str] = []
 
     def train_batch(batch: DataFrame, number: int) -> None:
+        if not owner:
+            owner.append(query_id(model.spark, checkpoint))
+        sources = batch.select(F.coalesce("source_id", F.lit("")).alias("s")).distinct().agg(
+            F.count("*").alias("n"), F.sum(F.xxhash64("s").cast("decimal(38,0)")).alias("h")).first()
+        if not sources["n"]:
+            return
+        key = f"{owner[0]}:{number}:{sources['n']}-{sources['h']}"
         try:
-            refused = model.train(batch, k, force=force, key=f"{owner}:{number}", owner=owner).refused
+            refused = model.train(batch, k, force=force, key=key, owner=owner[0]).refused
             left_out = batch.join(refused, F.coalesce(batch.source_id, F.lit("")) == refused.name, "left_semi")
             some = not refused.isEmpty()
         except AlreadyTrained:
             left_out, some = batch, True
+        except EmptyCorpus:
+            return
         if some:
-            left_out.write.mode("overwrite").parquet(f"{model.path}/refused/key={owner}-{number}")
+            left_out.write.mode("overwrite").parquet(f"{model.path}/refused/key={owner[0]}-{number}")
 
     return (stream.writeStream.foreachBatch(train_batch)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
@@ -64,14 +76,6 @@ def refused_texts(model: TransitionModel) -> DataFrame:
         return model.spark.createDataFrame([], schema)
 
 
-def _owner(spark: SparkSession, checkpoint: str) -> str:
-    """The id of a checkpoint, written beside it when it is first used."""
-    folder = f"{checkpoint.rstrip('/')}-id"
-    try:
-        return spark.read.schema("id string").parquet(folder).first()["id"]
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-    name = uuid.uuid4().hex
-    spark.range(1).select(F.lit(name).alias("id")).coalesce(1).write.parquet(folder)
-    return name
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the streaming query of a checkpoint: Spark writes it to the metadata file when the query first starts."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()["value"])["id"]

@@ -165,6 +165,29 @@ def test_a_new_checkpoint_with_new_files_is_trained(spark, tmp_path, model):
     assert "wholly" in {r.token for r in model.vocabulary().collect()} and len(model.commits()) == 2
 
 
+def test_a_deleted_checkpoint_and_new_files_are_trained(spark, tmp_path, model):
+    """The query id lives in the checkpoint: with the checkpoint gone, batch 0 of other files is a new batch."""
+    import shutil
+    offsets = tmp_path / "offsets"
+    for folder, text in (("one", A[1]), ("two", "Wholly other words here.")):
+        spark.createDataFrame([(text,)], "text string").coalesce(1).write.parquet(str(tmp_path / folder))
+        train_from_stream(stream_corpus(spark, str(tmp_path / folder)), model, 1, str(offsets)).awaitTermination()
+        shutil.rmtree(offsets)
+    assert "wholly" in {r.token for r in model.vocabulary().collect()} and len(model.commits()) == 2
+    assert refused_texts(model).count() == 0
+
+
+def test_empty_files_and_batches_without_tokens_do_not_stop_a_stream(spark, tmp_path, model):
+    folder = str(tmp_path / "in")
+    spark.createDataFrame([], "text string").coalesce(1).write.parquet(folder)
+    spark.createDataFrame([("",), (None,)], "text string").coalesce(1).write.mode("append").parquet(folder)
+    spark.createDataFrame([("Real words at last.",)], "text string").coalesce(1).write.mode("append").parquet(folder)
+    query = train_from_stream(stream_corpus(spark, folder, files_per_batch=1), model, 1, str(tmp_path / "o"))
+    query.awaitTermination()
+    assert query.exception() is None
+    assert {"real", "words", "at", "last"} <= {r.token for r in model.vocabulary().collect()} and len(model.commits()) == 2  # the empty file commits nothing
+
+
 def test_text_and_csv_streams_and_a_source_in_several_batches(spark, tmp_path, model):
     (tmp_path / "t").mkdir()
     (tmp_path / "t" / "a.txt").write_text("One two. Three four", encoding="utf-8")
