@@ -40,30 +40,49 @@ def _broadcast_if_small(frame: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(frame) if rows <= MAX_BROADCAST else frame
 
 
-def index(docs: DataFrame, wanted: DataFrame, folder: str) -> tuple[DataFrame, DataFrame, dict]:
-    """Postings (key, term, tf, impact), documents (key, doc_id) and the totals N, L, written below ``folder``.
-
-    ``docs`` has doc_id and text; ``wanted`` the distinct terms of the queries. Only wanted terms get postings, but n,
-    N and L count all terms of every text. Postings are range-partitioned by term, so that a round's scan skips the
-    row groups of other terms and a frequent term is spread over many files.
+def counted(frame: DataFrame, sorted_terms: str) -> tuple[DataFrame, Column]:
+    """(term, tf) of every distinct term of a sorted array column: its runs, found without leaving the row."""
+    t = f"`{sorted_terms}`"
+    starts = F.expr(f"CASE WHEN size({t}) = 0 THEN array() ELSE "
+                    f"filter(sequence(1, size({t})), i -> i = 1 OR {t}[i - 1] != {t}[i - 2]) END")
+    with_starts = frame.withColumn("_starts", starts)
+    runs = F.expr(f"""transform(_starts, (st, k) -> named_struct('term', {t}[st - 1],
+                  'tf', CAST(coalesce(try_element_at(_starts, k + 2), size({t}) + 1) - st AS BIGINT)))""")
+    return with_starts, runs
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    """Delete a table this job wrote and no longer reads."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def index(docs: DataFrame, wanted: DataFrame, folder: str) -> tuple[DataFrame | None, dict]:
+    """Postings (key, doc_id, term, tf, impact) of the wanted terms, and the totals N and L.
+
+    ``docs`` has doc_id and text; ``wanted`` the distinct terms of the queries. One pass over the texts writes the
+    index: a row of (key, doc_id, n) for every document, and one more for each distinct wanted term it holds, its tf
+    counted from the runs of the sorted terms inside the row, so nothing is shuffled. n, N and L count all terms.
+    Files are sorted by term, so that a round's scan skips row groups of other terms.
     """
     spark = docs.sparkSession
     rows = docs.select(F.monotonically_increasing_id().alias("key"), F.col("doc_id").cast("long").alias("doc_id"),
-                       terms(F.col("text").cast("string")).alias("terms"))
-    rows.select("key", "doc_id", "terms").write.parquet(f"{folder}/terms")  # keys fixed once, before anything reuses them
-    stored = spark.read.parquet(f"{folder}/terms").withColumn("n", F.size("terms").cast("long"))
-    totals = stored.where("n > 0").agg(F.count("*").alias("N"), F.sum("n").alias("L")).first()
+                       F.array_sort(terms(F.col("text").cast("string"))).alias("sorted"))
+    alone = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(None).cast("long").alias("tf")))
+    rows, runs = counted(rows, "sorted")
+    entries = rows.select("key", "doc_id", F.size("sorted").cast("long").alias("n"), F.explode(F.concat(alone, runs)).alias("p"))
+    flags = wanted.select("term", F.lit(True).alias("wanted"))
+    flags = _broadcast_if_small(flags, flags.count())
+    kept = entries.select("key", "doc_id", "n", "p.term", "p.tf").join(flags, "term", "left").where("term IS NULL OR wanted")
+    kept.drop("wanted").sortWithinPartitions("term").write.parquet(f"{folder}/index")  # keys fixed once, before anything reuses them
+    stored = spark.read.parquet(f"{folder}/index")
+    totals = stored.where("term IS NULL AND n > 0").agg(F.count("*").alias("N"), F.sum("n").alias("L")).first()
     big_n, big_l = int(totals["N"]), int(totals["L"] or 0)
     if big_n == 0:
-        return None, None, {"N": 0, "L": 0}
-    m = F.lit(25) + F.expr(f"(75 * n * {big_n}L) div {big_l}L")
-    ask = _broadcast_if_small(wanted, wanted.count())
-    posted = (stored.where("n > 0").select("key", "n", F.explode("terms").alias("term")).join(ask, "term", "left_semi")
-              .groupBy("key", "term").agg(F.count("*").alias("tf"), F.first("n").alias("n")))
-    posted = posted.withColumn("m", m).select("key", "term", "tf", F.expr("(1000000000L * tf) div (1000L * tf + 8L * m)").alias("impact"))
-    posted.repartitionByRange("term", "key").write.parquet(f"{folder}/postings")
-    stored.select("key", "doc_id").write.parquet(f"{folder}/documents")
-    return spark.read.parquet(f"{folder}/postings"), spark.read.parquet(f"{folder}/documents"), {"N": big_n, "L": big_l}
+        return None, {"N": 0, "L": 0}
+    impact = F.expr(f"(1000000000L * tf) div (1000L * tf + 8L * (25L + (75L * n * {big_n}L) div {big_l}L))")
+    return stored.where("term IS NOT NULL").select("key", "doc_id", "term", "tf", impact.alias("impact")), {"N": big_n, "L": big_l}
 
 
 def search(docs: DataFrame, questions: DataFrame, spark: SparkSession | None = None, top: int = TOP) -> DataFrame:
@@ -78,7 +97,7 @@ def search(docs: DataFrame, questions: DataFrame, spark: SparkSession | None = N
              .groupBy("item", "term").agg(F.count("*").alias("q")))
     asked.write.parquet(f"{folder}/asked")
     asked = spark.read.parquet(f"{folder}/asked")
-    postings, documents, totals = index(docs.select("doc_id", "text"), asked.select("term").distinct(), folder)
+    postings, totals = index(docs.select("doc_id", "text"), asked.select("term").distinct(), folder)
     empty = spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
     if postings is None:
         return empty
@@ -109,6 +128,8 @@ def search(docs: DataFrame, questions: DataFrame, spark: SparkSession | None = N
         merged = accumulators.unionByName(found).groupBy("item", "key").agg(F.sum("partial").alias("partial"))
         written = f"{folder}/accumulators-{start}"
         merged.write.parquet(written)
+        if start:
+            _drop(spark, f"{folder}/accumulators-{start - width // 2}")  # the previous round's, read no more
         accumulators = spark.read.parquet(written)
         best = Window.partitionBy("item").orderBy(F.desc("partial"))
         kth = accumulators.withColumn("r", F.row_number().over(best)).where(F.col("r") == top).select("item", "partial").collect()
@@ -116,9 +137,9 @@ def search(docs: DataFrame, questions: DataFrame, spark: SparkSession | None = N
         start, width = start + width, 2 * width
     survivors = accumulators.select("item", "key")
     survivors = _broadcast_if_small(survivors, survivors.count())
-    scored = (survivors.join(postings, "key").join(plan.select("item", "term", "q", "w"), ["item", "term"])
-              .groupBy("item", "key").agg(F.sum(F.col("q") * F.col("w") * F.col("impact")).alias("score"))
-              .where("score > 0").join(documents, "key"))
+    scored = (survivors.join(postings, "key").join(F.broadcast(plan.select("item", "term", "q", "w")), ["item", "term"])
+              .groupBy("item", "key", "doc_id").agg(F.sum(F.col("q") * F.col("w") * F.col("impact")).alias("score"))
+              .where("score > 0"))
     order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"), F.asc("key"))
     ranked = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     return ranked.select(F.col("item").alias("item_id"), F.col("rank").cast("int").alias("rank"), "doc_id", "score")
