@@ -75,7 +75,7 @@ class TransitionModel:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return []
-        return sorted(rows, key=lambda r: r.commit_id)
+        return sorted({r.commit_id: r for r in rows}.values(), key=lambda r: r.commit_id)  # a fold may briefly double rows
 
     def _commit(self, last: Row | None, batch: str, kind: str, key: str | None, **ids: int) -> None:
         known = {n: getattr(last, n) if last else 0
@@ -287,23 +287,81 @@ class TransitionModel:
         self._snapshot("compact", self.transitions(), self.vocabulary())
 
     def rebuild(self) -> None:
-        """Undo pruning: merge the counts of every training batch again."""
-        batches = self._batches((), ("train",))
+        """Undo pruning: merge the counts of every training batch again (from the last folded history on)."""
+        batches = self._batches(("history",), ("train",))
         rows = self._read("counts", _COUNTS, batches).where(F.col("ord") >= 1)
         self._snapshot("rebuild", _summed(rows, len(batches)))
 
+    def vacuum(self) -> dict[str, int]:
+        """Reclaim space: fold the training history, delete what no reader needs, fold the commit rows.
+
+        The unpruned sum of all training counts becomes one ``history`` snapshot (what :meth:`rebuild` starts from),
+        so the counts of the training batches before it can go; so can snapshots that a later prune, compact or
+        rebuild replaced, and vocabulary batches before the last compaction. Ledgers (documents, runs, walks) stay.
+        Commit rows are rewritten as one file. Returns the number of folders and files deleted.
+        """
+        commits = self.commits()
+        if not commits:
+            return {"folders": 0, "commit_files": 0}
+        history = self._batches(("history",), ("train",))
+        if history and (len(history) > 1 or not history[0].endswith("-history")):
+            rows = self._read("counts", _COUNTS, history).where(F.col("ord") >= 1)
+            self._snapshot("history", _summed(rows, len(history)))
+        commits = self.commits()
+        keep = set(self._batches(_COUNT_BASES, ("train",))) | set(self._batches(("history",), ("train",)))
+        gone = [f"{self.path}/counts/batch={c.batch}" for c in commits if c.batch not in keep and c.kind in ("train",) + _COUNT_BASES + ("history",)]
+        words = set(self._batches(_VOCABULARY_BASES, ("train",)))
+        gone += [f"{self.path}/vocabulary/batch={c.batch}" for c in commits if c.kind in ("train", "compact") and c.batch not in words]
+        folders = sum(_delete(self.spark, path) for path in gone)
+        return {"folders": folders, "commit_files": self._fold_commits()}
+
+    def _fold_commits(self) -> int:
+        """Write all commit rows as one file, then delete the files they came from."""
+        folder = f"{self.path}/commits"
+        old = [f for f in _files(self.spark, folder) if f.endswith(".parquet")]
+        if len(old) <= 1:
+            return 0
+        rows = self.spark.read.schema(_COMMITS).parquet(folder)
+        snapshot = fresh_dir(self.spark, "commits")
+        rows.dropDuplicates(["commit_id"]).coalesce(1).write.parquet(snapshot)  # commit rows: one a call, few
+        self.spark.read.schema(_COMMITS).parquet(snapshot).coalesce(1).write.mode("append").parquet(folder)
+        for f in old:
+            _delete(self.spark, f)
+        _delete(self.spark, snapshot)
+        return len(old)
+
     def _snapshot(self, kind: str, transitions: DataFrame, vocabulary: DataFrame | None = None) -> None:
+        """Write counts as one batch, clustered: ranges of state_key a file, sorted, so lookups skip files and row groups."""
         commits = self.commits()
         if not commits:
             raise ValueError("the model is empty")
         batch = self._next_batch(commits[-1], kind)
         target = f"{self.path}/counts/batch={batch}"
-        transitions.withColumnRenamed("count", "n").write.mode("overwrite").partitionBy("ord").parquet(target)
+        clustered = transitions.withColumnRenamed("count", "n").repartitionByRange("state_key").sortWithinPartitions("ord", "state_key")
+        clustered.write.mode("overwrite").partitionBy("ord").parquet(target)
         if vocabulary is not None:
             vocabulary.write.mode("overwrite").parquet(f"{self.path}/vocabulary/batch={batch}")
         self._commit(commits[-1], batch, kind, None)
 
 
+def _filesystem(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def _files(spark: SparkSession, folder: str) -> list[str]:
+    fs, target = _filesystem(spark, folder)
+    if not fs.exists(target):
+        return []
+    return [str(f.getPath().toString()) for f in fs.listStatus(target) if f.isFile()]
+
+
+def _delete(spark: SparkSession, path: str) -> int:
+    fs, target = _filesystem(spark, path)
+    return int(bool(fs.delete(target, True)))
+
+
 def _empty(spark: SparkSession, schema: str) -> DataFrame:
     fields = [f.strip().split(" ") for f in schema.split(",")]
     return spark.range(0).select(*[F.lit(None).cast(kind).alias(name) for name, kind in fields])

@@ -239,3 +239,38 @@ def test_reports_are_in_order(corpus, model):
     assert sizes == sorted(sizes)
     entropies = [(-r.entropy_bits, r.ord, r.state_key) for r in stats(model, "entropy").collect()]
     assert entropies == sorted(entropies)
+
+
+def test_vacuum_after_many_batches_keeps_every_answer(spark, corpus, model, tmp_path):
+    from pathlib import Path
+    texts = [f"Word{i % 7} and word{i % 5} went on. The end{i % 3} came." for i in range(50)]
+    for i, text in enumerate(texts):
+        model.train(corpus((f"s{i}", text)), 2)
+    full, words = rows(model.transitions()), rows(model.vocabulary())
+    model.prune(2)
+    pruned = rows(model.transitions())
+    model.compact()
+    done = model.vacuum()
+    assert done["folders"] >= 50 and done["commit_files"] == 53  # 50 trainings, prune, compact, history
+    counts = [p for p in Path(model.path, "counts").iterdir() if p.name.startswith("batch=")]
+    vocabulary = [p for p in Path(model.path, "vocabulary").iterdir() if p.name.startswith("batch=")]
+    commit_files = list(Path(model.path, "commits").glob("*.parquet"))
+    assert len(counts) == 2 and len(vocabulary) == 1 and len(commit_files) == 1  # the compacted counts, the history
+    assert rows(model.transitions()) == pruned and rows(model.vocabulary()) == words
+    assert model.documents().count() == 50 and [c.commit_id for c in model.commits()] == list(range(1, 54))
+    model.rebuild()
+    assert rows(model.transitions()) == full
+    model.train(corpus(("s50", "Fresh words here.")), 2)
+    assert "fresh" in {r.token for r in model.vocabulary().collect()}
+    assert model.vacuum()["folders"] >= 1 and rows(model.transitions()) != full
+
+
+def test_compacted_counts_are_clustered_by_state(spark, corpus, model):
+    model.train(corpus(A), 2)
+    model.train(corpus(B), 2)
+    model.compact()
+    files = spark.read.parquet(f"{model.path}/counts/batch={model.commits()[-1].batch}").select(
+        F.input_file_name().alias("f"), "ord", "state_key").groupBy("f", "ord").agg(F.min("state_key").alias("lo"), F.max("state_key").alias("hi")).collect()
+    for order in {r.ord for r in files}:
+        spans = sorted((r.lo, r.hi) for r in files if r.ord == order)
+        assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))  # each file its own range of states
