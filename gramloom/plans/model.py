@@ -273,14 +273,18 @@ class TransitionModel:
 
     # ---- maintenance ---------------------------------------------------------------
 
-    def prune(self, min_count: int) -> None:
-        """Keep transitions seen at least ``min_count`` times; ledgers and vocabulary stay.
+    def prune(self, min_count: int) -> DataFrame:
+        """Keep transitions seen at least ``min_count`` times; ledgers and vocabulary stay. Returns the report per order.
 
-        Works on the merged counts: rare rows of one batch may be frequent in the sum.
+        Works on the merged counts: rare rows of one batch may be frequent in the sum. The report is
+        :func:`~gramloom.plans.stats.order_summary` of the pruned model, read from what was written.
         """
+        from gramloom.plans.stats import order_summary  # stats builds on this module
+
         if min_count < 2:
             raise ValueError("min_count must be at least 2")
         self._snapshot("prune", self.transitions().where(F.col("count") >= min_count))
+        return order_summary(self.transitions())
 
     def compact(self) -> None:
         """Fold all visible batches into one that readers need not merge."""

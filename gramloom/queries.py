@@ -272,9 +272,7 @@ def forced_retrain(spark, sf):
 
 
 def prune_report(spark, sf):
-    model = _own_grown_model(spark, sf)
-    model.prune(2)
-    return stats.order_summary(model.transitions())
+    return _own_grown_model(spark, sf).prune(2)
 
 
 def compact_report(spark, sf):

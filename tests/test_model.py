@@ -92,8 +92,9 @@ def test_prune_rebuild_compact(corpus, model):
     model.train(corpus(A), 2)
     model.train(corpus(B), 2)
     full, words = rows(model.transitions()), rows(model.vocabulary())
-    model.prune(2)
+    report = model.prune(2)
     kept = rows(model.transitions())
+    assert {r.ord: r.transitions for r in report.collect()} == {o: sum(1 for r in kept if r[0] == o) for o in (1, 2)}
     assert kept == [r for r in full if r[3] >= 2]
     model.prune(2)
     assert rows(model.transitions()) == kept
