@@ -10,8 +10,9 @@ Documents are cut first: every full window of ``TOKENS`` ids is a sequence of it
 document is packed. The rests are dealt by hash of their key into groups of about ``GROUP`` pieces, which are
 packed independently in parallel tasks; a group's work is quadratic in its size and bounded, whatever the data.
 
-Texts are tokenised with the ``tokenizers`` library (strings of special tokens count as text), and id 1 closes every
-document. A null text is empty and yields the piece [1]. A piece's ``ids_crc32`` is the unsigned crc32 of its ids as
+Texts are tokenised with the ``tokenizers`` library (strings of special tokens count as text) from a JSON file, or
+with tiktoken from a rank file of the same vocabulary and pre-tokenising pattern, which gives the same ids some four
+times faster (tests hold the two against each other); id 1 closes every document. A null text is empty and yields the piece [1]. A piece's ``ids_crc32`` is the unsigned crc32 of its ids as
 little-endian unsigned 32-bit integers. Sequences hold at most ``TOKENS`` ids; padding (not returned) fills a sequence
 up to ``TOKENS`` unless its length is a power of two.
 """
@@ -42,11 +43,20 @@ _tokenizers: dict[str, object] = {}
 
 
 def _tokenizer(path: str):
+    """A function from texts to lists of ids: tiktoken over a rank file, or the tokenizers library over a JSON file."""
     if path not in _tokenizers:
-        from tokenizers import Tokenizer
-        made = Tokenizer.from_file(path)
-        made.encode_special_tokens = True
-        _tokenizers[path] = made
+        if path.endswith(".tiktoken"):
+            import public_tokenizers
+            import tiktoken
+
+            from gramloom.llm.bpe import load_ranks
+            made = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_ranks(path), special_tokens={})
+            _tokenizers[path] = lambda texts: made.encode_ordinary_batch(texts, num_threads=1)
+        else:
+            from tokenizers import Tokenizer
+            made = Tokenizer.from_file(path)
+            made.encode_special_tokens = True
+            _tokenizers[path] = lambda texts: [e.ids for e in made.encode_batch(texts, add_special_tokens=False)]
     return _tokenizers[path]
 
 
@@ -70,10 +80,9 @@ def pieces(rows: DataFrame, path: str, tokens: int = TOKENS) -> DataFrame:
             for at in range(0, len(batch), CHUNK):
                 part = batch.iloc[at:at + CHUNK]
                 texts = [t if isinstance(t, str) else "" for t in part["text"]]
-                encoded = coder.encode_batch(texts, add_special_tokens=False)
                 out = []
-                for key, doc_id, e in zip(part["key"], part["doc_id"], encoded):
-                    ids = np.append(np.asarray(e.ids, dtype=np.int64), END)
+                for key, doc_id, e in zip(part["key"], part["doc_id"], coder(texts)):
+                    ids = np.append(np.asarray(e, dtype=np.int64), END)
                     for n, (start, length, c) in enumerate(cut(ids, tokens)):
                         out.append((key, doc_id, start, length, c, len(ids), n))
                 yield pd.DataFrame(out, columns=["key", "doc_id", "start", "length", "ids_crc32", "doc_tokens", "piece"]).astype(

@@ -134,7 +134,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut into pieces and packed into sequences of at most 2048 ids."""
     docs = spread(texts_of(table(spark, sf_dir, "documents")))
-    return packing.packed_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), spark)
+    # the ranks of byte_bpe_50k.json's vocabulary: the same ids as the tokenizers library gives (tests/llm/test_packing.py)
+    return packing.packed_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), spark)
 
 
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from tokenizers import Tokenizer
 from gramloom.llm import packing
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def ids_of(text):
@@ -64,3 +65,19 @@ def test_dot_product_respects_every_limit():
 
 def test_empty_table(spark, documents):
     assert packing.packed_documents(documents(), PATH, spark).count() == 0
+
+
+def test_rank_file_gives_the_ids_of_the_json_file(prose):
+    import random
+    draw = random.Random(9)
+    texts = [prose(i, draw.randint(0, 300)) for i in range(300)]
+    texts += ["".join(draw.choice("aàbé \n\t\r.,19漢😀the'sIN<|endoftext|>  ") for _ in range(draw.randint(0, 120))) for _ in range(3000)]
+    texts += ["", " " * 50, "\n\n \n", "a" * 30_000, "x\x00y", "<|endoftext|>"]
+    assert packing._tokenizer(RANKS)(texts) == packing._tokenizer(PATH)(texts)
+
+
+def test_query_file_packs_as_the_json_file(spark, documents, prose):
+    docs = [(i, prose(i, (i * 53) % 700)) for i in range(60)]
+    a = sorted(tuple(r)[:5] for r in packing.packed_documents(documents(*docs), PATH, spark).collect())
+    b = sorted(tuple(r)[:5] for r in packing.packed_documents(documents(*docs), RANKS, spark).collect())
+    assert a == b
