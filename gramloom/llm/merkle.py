@@ -101,15 +101,20 @@ STEP = "array<struct<sib:string,slot:int>>"
 def descend(levels: list[DataFrame], tops: DataFrame, paths_of_tops: DataFrame, folder: str) -> DataFrame:
     """(g, pos, path) of every leaf: its (sibling, slot) from the leaf level up; ``paths_of_tops`` (g, path) goes last."""
     spark = tops.sparkSession
-    above = tops.join(paths_of_tops, "g").select("g", "level", F.lit(0).cast("long").alias("pos"), "path")
+    ends = tops.join(paths_of_tops, "g").select("g", "level", F.lit(0).cast("long").alias("pos"), "path")
+    done = None  # the paths of the level above, as written
     for level in range(len(levels) - 1, -1, -1):
-        parents = above.where(F.col("level") == level + 1).select("g", F.col("pos").alias("ppos"), "path")
+        parents = ends.where(F.col("level") == level + 1).select("g", "pos", "path")
+        if done is not None:
+            parents = parents.unionByName(done)
         step = F.array(F.struct(F.col("sib"), F.col("slot"))).cast(STEP)
-        children = levels[level].select("g", "pos", "sib", "slot", F.expr("pos div 2").alias("ppos")).join(parents, ["g", "ppos"])
+        children = levels[level].select("g", "pos", "sib", "slot", F.expr("pos div 2").alias("ppos")).join(
+            parents.withColumnRenamed("pos", "ppos"), ["g", "ppos"])
         written = f"{folder}/paths-{level}"
-        children.select("g", F.lit(level).alias("level"), "pos", F.concat(step, F.col("path")).alias("path")).write.parquet(written)
-        above = spark.read.parquet(written).unionByName(above.where(F.col("level") <= level))
-    return above.where("level = 0").select("g", "pos", "path")
+        children.select("g", "pos", F.concat(step, F.col("path")).alias("path")).write.parquet(written)
+        done = spark.read.parquet(written)
+    leaves = ends.where("level = 0").select("g", "pos", "path")
+    return leaves if done is None else leaves.unionByName(done)
 
 
 def fold(start: Column, path: Column) -> Column:
