@@ -57,4 +57,23 @@ def frequency_rank(rows: DataFrame, freq: str, name: str) -> DataFrame:
     ranks = (bucketed.withColumn("inside", F.sum("m").over(falling) - F.col("m"))
              .join(before, "bucket")
              .select("f", (F.col("inside") + F.col("before") + 1).alias(name)))
-    return rows.join(ranks, F.col(freq) == F.col("f")).drop("f")
+    return joined_to_small(rows, ranks, F.col(freq), "f").drop("f")
+
+
+BROADCAST_ROWS = 1_000_000  # rows of a small side sent to every task
+SALTS = 64  # copies of a small side that is too large to send, for keys that hold many rows
+
+
+def joined_to_small(rows: DataFrame, small: DataFrame, key: Column, small_key: str) -> DataFrame:
+    """``rows`` inner-joined to ``small`` on key = small_key, without a task per hot key.
+
+    The small side is counted first: up to ``BROADCAST_ROWS`` rows it goes to every task and nothing moves. Beyond,
+    each row of ``rows`` gets a salt from a hash of all its columns, and ``small`` is copied once per salt, so a key
+    that holds a third of the rows is spread over ``SALTS`` tasks.
+    """
+    if small.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(small), key == F.col(small_key))
+    salt = "_salt"
+    salted = rows.withColumn(salt, F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(SALTS)))
+    copies = small.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+    return salted.join(copies, (key == F.col(small_key)) & (salted[salt] == copies[salt])).drop(salt)

@@ -120,3 +120,13 @@ def test_lookup_with_one_key_in_most_rows(spark):
     assert lookup(rows, table, ["k"], ["id"]).count() == 2 * 2900 + 1
     left = lookup(rows, table, ["k"], ["id"], how="left")
     assert left.count() == 2 * 2900 + 100 and left.where("v IS NULL").count() == 99
+
+
+def test_join_to_a_small_side_salted_beyond_the_bound(spark, monkeypatch):
+    from gramloom.operators import ranking
+    rows = spark.createDataFrame([(f"t{i}", 1 if i % 3 else i) for i in range(300)], "token string, freq long")
+    small = rows.select(F.col("freq").alias("f")).distinct().withColumn("r", F.col("f") * 10)
+    sent = sorted(tuple(r) for r in ranking.joined_to_small(rows, small, F.col("freq"), "f").collect())
+    monkeypatch.setattr(ranking, "BROADCAST_ROWS", 0)
+    salted = sorted(tuple(r) for r in ranking.joined_to_small(rows, small, F.col("freq"), "f").collect())
+    assert sent == salted and len(sent) == 300
