@@ -203,6 +203,11 @@ FROM trans JOIN ids ON token = next_token WHERE ord <= 2"""),
         "zipf": _with([DOCS, VOCAB, RANKED], "SELECT token, freq, rank FROM ranked ORDER BY freq DESC, token LIMIT 30"),
         "vocab_rank": _with([DOCS, VOCAB, RANKED], "SELECT token, freq, rank FROM ranked"),
         "state_totals": _with([*model, STATES], "SELECT * FROM states"),
+        "successor_lists": _with([*model, """placed AS (SELECT ord, state_key, next_token, count,
+  row_number() OVER (PARTITION BY ord, state_key ORDER BY next_token) - 1 AS pos FROM trans)"""],
+                                 """SELECT ord, state_key, pos // 1000 AS part, count(*) AS entries, sum(count)::BIGINT AS total,
+       string_agg(next_token || ':' || count, ' ' ORDER BY next_token) AS successors
+FROM placed GROUP BY ord, state_key, pos // 1000"""),
         "next_distribution": _with(model, """SELECT ord, state_key, next_token, count,
        count::DOUBLE / sum(count) OVER s AS prob, count(*) OVER s AS n_candidates
 FROM trans WINDOW s AS (PARTITION BY ord, state_key)"""),

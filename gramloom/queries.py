@@ -223,6 +223,12 @@ def state_totals(spark, sf):
     return totals(_model(spark, sf).transitions(K))
 
 
+def successor_lists(spark, sf):
+    """The successor lists of all states of orders 1 to 3, in parts of at most 1,000 entries."""
+    from gramloom.operators.successors import successor_lists as lists
+    return lists(_model(spark, sf).transitions(K), fresh_dir(spark, "successors"))
+
+
 def next_distribution(spark, sf):
     transitions = _model(spark, sf).transitions(K)
     return distribution(transitions, totals(transitions))
@@ -445,4 +451,5 @@ ALL = [
     backoff_stats, perplexity, generation_runs, weighted_draw, batch_walk, generation_steps, detokenize,
     run_text_files, walk_backoff, walk_perplexity, chains_random_start, chain_lines, read_csv_text,
     read_text_files, stream_incremental, stream_split_source, generation_log, trained_sources, integrity_faults,
+    successor_lists,
 ]

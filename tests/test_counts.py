@@ -130,3 +130,15 @@ def test_join_to_a_small_side_salted_beyond_the_bound(spark, monkeypatch):
     monkeypatch.setattr(ranking, "BROADCAST_ROWS", 0)
     salted = sorted(tuple(r) for r in ranking.joined_to_small(rows, small, F.col("freq"), "f").collect())
     assert sent == salted and len(sent) == 300
+
+
+def test_successor_lists_in_bounded_parts(spark, tmp_path):
+    from gramloom.operators.successors import successor_lists
+    hot = [(1, "the", f"w{i:03d}", i % 4 + 1) for i in range(250)]  # one state with many successors, over several tasks
+    cold = [(2, "a b", "c", 3), (2, "a b", "d", 1), (1, "x", "y", 2)]
+    rows = spark.createDataFrame(hot + cold, "ord int, state_key string, next_token string, count long").repartition(7)
+    got = successor_lists(rows, str(tmp_path / "s"), chunk=40).collect()
+    assert max(r.entries for r in got) <= 40 and all(len(r.successors.split(" ")) == r.entries for r in got)
+    the = sorted((r for r in got if r.state_key == "the"), key=lambda r: r.part)
+    assert [r.part for r in the] == list(range(7)) and " ".join(r.successors for r in the) == " ".join(f"{t}:{c}" for _, _, t, c in hot)
+    assert {(r.state_key, r.successors) for r in got if r.state_key != "the"} == {("a b", "c:3 d:1"), ("x", "y:2")}
