@@ -77,3 +77,24 @@ def joined_to_small(rows: DataFrame, small: DataFrame, key: Column, small_key: s
     salted = rows.withColumn(salt, F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(SALTS)))
     copies = small.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
     return salted.join(copies, (key == F.col(small_key)) & (salted[salt] == copies[salt])).drop(salt)
+
+
+HEAVY = 1000  # keys measured as hot, at most, whose matches go to every task
+
+
+def joined_with_heavy_split(rows: DataFrame, other: DataFrame, key: str, tasks: int | None = None) -> DataFrame:
+    """``rows`` inner-joined to ``other`` on ``key``; the keys that hold many rows of ``rows`` do not meet in one task.
+
+    The rows per key are counted first (partial sums before the shuffle). Keys with more than a share of
+    1 / (4 * tasks) of all rows, at most ``HEAVY`` of them, are hot: their rows of ``other`` are sent to every task and
+    joined in place. All other keys are joined by shuffle, so no task gets much more than its share.
+    """
+    tasks = tasks or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per_key = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    total = per_key.agg(F.sum("_rows").alias("n")).first()["n"] or 0
+    hot = [r[key] for r in per_key.where(F.col("_rows") * 4 * tasks > total).orderBy(F.desc("_rows")).limit(HEAVY).collect()]
+    if not hot:
+        return rows.join(other, key)
+    is_hot = F.col(key).isin(hot)
+    return (rows.where(is_hot).join(F.broadcast(other.where(is_hot)), key)
+            .unionByName(rows.where(~is_hot | F.col(key).isNull()).join(other.where(~is_hot), key)))

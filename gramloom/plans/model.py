@@ -24,7 +24,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from gramloom.functions.tokens import MAX_ORDER
-from gramloom.operators.ranking import dense_ids
+from gramloom.operators.ranking import dense_ids, joined_with_heavy_split
 from gramloom.operators.tally import LEDGER, VOCABULARY, tally
 from gramloom.session import fresh_dir
 
@@ -119,12 +119,12 @@ class TransitionModel:
     def transitions_with_ids(self, max_order: int = MAX_ORDER) -> DataFrame:
         """(ord, state_key, next_id, count), the next token as its vocabulary id.
 
-        Joined after counting, so each transition meets the vocabulary once. Spark
-        broadcasts the vocabulary on its measured size; beyond that AQE splits the
-        partitions of tokens that follow very many states.
+        Joined after counting, so each transition meets the vocabulary once. Tokens that follow very many states
+        (``</s>``) are measured and joined by broadcast, the rest by shuffle, so no hot token sits in one task even
+        without AQE's skew handling.
         """
         ids = self.vocabulary().select(F.col("id").alias("next_id"), F.col("token").alias("next_token"))
-        return self.transitions(max_order).join(ids, "next_token").select(
+        return joined_with_heavy_split(self.transitions(max_order), ids, "next_token").select(
             "ord", "state_key", "next_id", "count")
 
     def vocabulary(self) -> DataFrame:

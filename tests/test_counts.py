@@ -142,3 +142,16 @@ def test_successor_lists_in_bounded_parts(spark, tmp_path):
     the = sorted((r for r in got if r.state_key == "the"), key=lambda r: r.part)
     assert [r.part for r in the] == list(range(7)) and " ".join(r.successors for r in the) == " ".join(f"{t}:{c}" for _, _, t, c in hot)
     assert {(r.state_key, r.successors) for r in got if r.state_key != "the"} == {("a b", "c:3 d:1"), ("x", "y:2")}
+
+
+def test_heavy_split_join_with_a_planted_hot_key(spark):
+    from gramloom.operators.ranking import joined_with_heavy_split
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        rows = spark.createDataFrame([(i, "</s>" if i % 2 else f"t{i % 50}") for i in range(2000)] + [(9999, None)], "s long, tok string")
+        other = spark.createDataFrame([("</s>", 0)] + [(f"t{i}", i + 1) for i in range(50)] + [(None, -1)], "tok string, id long")
+        got = joined_with_heavy_split(rows, other, "tok")
+        assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in rows.join(other, "tok").collect())
+        assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.skewJoin.enabled")
