@@ -221,6 +221,7 @@ FROM trans WHERE ord <= 2"""),
 FROM grown g, (SELECT string_agg(name, ', ' ORDER BY name) AS every,
                       string_agg(name, ', ' ORDER BY name) FILTER (batch = 1) AS deep FROM ledger) l
 GROUP BY g.ord"""),
+        "size_estimate": _with(GROWN, "SELECT ord, true AS transitions_within, true AS states_within FROM grown GROUP BY ord"),
         "growth": _with(GROWN, """SELECT row_number() OVER o AS run, name, ord, ngrams_added,
        (sum(ngrams_added) OVER o)::BIGINT AS cumulative_ngrams
 FROM (SELECT id, name, 1::TINYINT AS ord, n1 AS ngrams_added FROM ledger

@@ -37,6 +37,8 @@ _COMMITS = ("commit_id long, batch string, kind string, commit_key string, "
 _GENERATIONS = "id long, run_id long, seed string, requested_order tinyint, max_tokens int, created_at timestamp, batch string"
 _STEPS = ("id long, run_id long, step int, state_key string, order_used tinyint, next_token string, chosen_prob double, "
           "n_candidates long, batch string")
+_SKETCHES = "ord tinyint, states binary, transitions binary"
+SKETCH_BITS = 12  # log2 of the buckets of a sketch
 NAMES_SENT = 100_000  # refused source names up to this many are sent to the texts
 
 # Which batches a reader starts from: the last one of these kinds, or the first batch.
@@ -214,6 +216,7 @@ class TransitionModel:
             raise EmptyCorpus("the corpus holds no records")
         tokens = self._write_vocabulary(counts, batch, last)
         runs = self._write_runs(counts, batch, last, k)
+        self._write_sketches(counts, batch)
         self._commit(last, batch, "train", key, last_token_id=tokens,
                      last_document_id=documents, last_run_id=runs)
         return TrainReport(batch, refused)
@@ -296,6 +299,39 @@ class TransitionModel:
         rows = self._read("counts", _COUNTS, batches).where(F.col("ord") >= 1)
         self._snapshot("rebuild", _summed(rows, len(batches)))
 
+    def _write_sketches(self, counts: DataFrame, batch: str) -> None:
+        """HyperLogLog sketches of the batch's distinct states and transitions per order: a few KB, mergeable."""
+        rows = counts.where(F.col("ord") >= 1)
+        rows.groupBy("ord").agg(
+            F.hll_sketch_agg("state_key", SKETCH_BITS).alias("states"),
+            F.hll_sketch_agg(F.concat_ws("\u0000", "state_key", "next_token"), SKETCH_BITS).alias("transitions"),
+        ).write.mode("overwrite").parquet(f"{self.path}/sketches/batch={batch}")
+
+    def approximate_size(self) -> DataFrame:
+        """(ord, transitions, states) estimated by uniting the sketches of the visible batches; no count is read.
+
+        The relative standard error is about 1.04 / sqrt(2^SKETCH_BITS), 1.6 %. Batches written before sketches
+        existed are sketched from their counts when read.
+        """
+        batches = self._batches(_COUNT_BASES, ("train",))
+        parts = []
+        for b in batches:
+            try:
+                parts.append(self.spark.read.schema(_SKETCHES).parquet(f"{self.path}/sketches/batch={b}"))
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                self._write_sketches(self._read("counts", _COUNTS, [b]), b)
+                parts.append(self.spark.read.schema(_SKETCHES).parquet(f"{self.path}/sketches/batch={b}"))
+        if not parts:
+            return _empty(self.spark, "ord tinyint, transitions long, states long")
+        every = parts[0]
+        for p in parts[1:]:
+            every = every.unionByName(p)
+        return every.groupBy("ord").agg(
+            F.hll_sketch_estimate(F.hll_union_agg("transitions", True)).alias("transitions"),
+            F.hll_sketch_estimate(F.hll_union_agg("states", True)).alias("states"))
+
     def vacuum(self) -> dict[str, int]:
         """Reclaim space: fold the training history, delete what no reader needs, fold the commit rows.
 
@@ -313,7 +349,8 @@ class TransitionModel:
             self._snapshot("history", _summed(rows, len(history)))
         commits = self.commits()
         keep = set(self._batches(_COUNT_BASES, ("train",))) | set(self._batches(("history",), ("train",)))
-        gone = [f"{self.path}/counts/batch={c.batch}" for c in commits if c.batch not in keep and c.kind in ("train",) + _COUNT_BASES + ("history",)]
+        gone = [f"{self.path}/{table}/batch={c.batch}" for c in commits for table in ("counts", "sketches")
+                if c.batch not in keep and c.kind in ("train",) + _COUNT_BASES + ("history",)]
         words = set(self._batches(_VOCABULARY_BASES, ("train",)))
         gone += [f"{self.path}/vocabulary/batch={c.batch}" for c in commits if c.kind in ("train", "compact") and c.batch not in words]
         folders = sum(_delete(self.spark, path) for path in gone)
@@ -343,6 +380,7 @@ class TransitionModel:
         target = f"{self.path}/counts/batch={batch}"
         clustered = transitions.withColumnRenamed("count", "n").repartitionByRange("state_key").sortWithinPartitions("ord", "state_key")
         clustered.write.mode("overwrite").partitionBy("ord").parquet(target)
+        self._write_sketches(self._read("counts", _COUNTS, [batch]), batch)
         if vocabulary is not None:
             vocabulary.write.mode("overwrite").parquet(f"{self.path}/vocabulary/batch={batch}")
         self._commit(commits[-1], batch, kind, None)

@@ -250,6 +250,15 @@ def size(spark, sf):
     return stats.size(_grown_model(spark, sf))
 
 
+def size_estimate(spark, sf):
+    """Whether the sketched counts of the grown model (three batches) lie within 5 % (three standard errors)."""
+    model = _grown_model(spark, sf)
+    exact = stats.size(model).select("ord", F.col("transitions").alias("t"), F.col("states").alias("s"))
+    near = lambda est, true: F.abs(F.col(est) - F.col(true)) <= 0.05 * F.col(true)
+    return model.approximate_size().join(exact, "ord").select(
+        "ord", near("transitions", "t").alias("transitions_within"), near("states", "s").alias("states_within"))
+
+
 def trained_sources(spark, sf):
     return stats.trained_sources(_grown_model(spark, sf))
 
@@ -451,5 +460,5 @@ ALL = [
     backoff_stats, perplexity, generation_runs, weighted_draw, batch_walk, generation_steps, detokenize,
     run_text_files, walk_backoff, walk_perplexity, chains_random_start, chain_lines, read_csv_text,
     read_text_files, stream_incremental, stream_split_source, generation_log, trained_sources, integrity_faults,
-    successor_lists,
+    successor_lists, size_estimate,
 ]

@@ -275,3 +275,20 @@ def test_compacted_counts_are_clustered_by_state(spark, corpus, model):
     for order in {r.ord for r in files}:
         spans = sorted((r.lo, r.hi) for r in files if r.ord == order)
         assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))  # each file its own range of states
+
+
+def test_sketches_estimate_size_across_batches_and_snapshots(spark, corpus, model):
+    words = [f"w{i}" for i in range(400)]
+    for b in range(3):
+        model.train(corpus((f"s{b}", ". ".join(" ".join(words[(b * 37 + j * 11) % 400:(b * 37 + j * 11) % 400 + 5]) for j in range(120)))), 2)
+
+    def near(approx, exact):
+        got = {r.ord: (r.transitions, r.states) for r in approx.collect()}
+        want = {r.ord: (r.transitions, r.states) for r in exact.collect()}
+        assert got.keys() == want.keys()
+        assert all(abs(got[o][i] - want[o][i]) <= 0.05 * want[o][i] for o in want for i in (0, 1))
+
+    summary = lambda: stats(model, "size")
+    near(model.approximate_size(), summary())
+    model.prune(2)
+    near(model.approximate_size(), summary())
