@@ -17,6 +17,7 @@ from collections.abc import Callable, Iterable, Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import regex
 from pyspark.sql import Column
@@ -189,13 +190,40 @@ def encode(text: Column, file: str = "byte_bpe_multi_50k.tiktoken", pattern: str
     return run.asNondeterministic()(text)
 
 
+class TokenTable:
+    """The bytes of all tokens in one buffer with offsets, so a batch of id lists is decoded by one gather."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        parts = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            parts[rank] = token
+        self.lengths = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
+        self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
+        self.data = np.frombuffer(b"".join(parts), dtype=np.uint8)
+
+    def decode(self, lists: pa.Array) -> pa.Array:
+        """Binary of each list of ids; a null or empty list gives no bytes."""
+        counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        sizes = self.lengths[ids]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        rows = ends[np.concatenate([[0], np.cumsum(counts)])]
+        gather = np.repeat(self.starts[ids] - ends[:-1], sizes) + np.arange(ends[-1])
+        data = self.data[gather].tobytes()
+        return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(rows.astype(np.int32).tobytes()), pa.py_buffer(data)])
+
+
+_tables: dict[str, TokenTable] = {}
+
+
 def decode(ids: Column, file: str = "byte_bpe_multi_50k.tiktoken") -> Column:
     """The bytes (binary) that the ids stand for. A null or empty array gives no bytes."""
 
     @F.arrow_udf("binary")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = decoder(load_ranks(public_tokenizers.path(file)))
+        path = public_tokenizers.path(file)
+        table = _tables.get(path) or _tables.setdefault(path, TokenTable(load_ranks(path)))  # once a worker
         for batch in batches:
-            yield pa.array([own(row.values.to_pylist() if row.is_valid else ()) for row in batch], pa.binary())
+            yield table.decode(batch)
 
     return run.asNondeterministic()(ids)

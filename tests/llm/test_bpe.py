@@ -58,3 +58,17 @@ def test_query_matches_the_library(spark, library):
         assert r["n_tokens"] == len(ids)
         assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
+
+
+def test_token_table_decodes_batches_as_the_plain_decoder():
+    ranks = bpe.load_ranks(public_tokenizers.path(FILE))
+    plain, table, draw = bpe.decoder(ranks), bpe.TokenTable(ranks), random.Random(8)
+    lists = [None, [], [0], *[[draw.randrange(50256) for _ in range(draw.randint(0, 300))] for _ in range(200)]]
+    batch = pa_list(lists)
+    assert table.decode(batch).to_pylist() == [plain(x or []) for x in lists]
+    assert table.decode(batch.slice(5, 20)).to_pylist() == [plain(x or []) for x in lists[5:25]]
+
+
+def pa_list(rows):
+    import pyarrow as pa
+    return pa.array(rows, pa.list_(pa.int32()))
