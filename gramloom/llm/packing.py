@@ -12,7 +12,8 @@ packed independently in parallel tasks; a group's work is quadratic in its size
 
 Texts are tokenised with the ``tokenizers`` library (strings of special tokens count as text) from a JSON file, or
 with tiktoken from a rank file of the same vocabulary and pre-tokenising pattern, which gives the same ids some four
-times faster (tests hold the two against each other); id 1 closes every document. A null text is empty and yields the piece [1]. A piece's ``ids_crc32`` is the unsigned crc32 of its ids as
+times faster (tests hold the two against each other); id 1 closes every document. A null text is empty and yields the piece [1]; rows
+with repeated or null doc_id are documents of their own; an empty table gives no rows. A piece's ``ids_crc32`` is the unsigned crc32 of its ids as
 little-endian unsigned 32-bit integers. Sequences hold at most ``TOKENS`` ids; padding (not returned) fills a sequence
 up to ``TOKENS`` unless its length is a power of two.
 """
