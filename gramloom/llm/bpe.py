@@ -191,26 +191,24 @@ def encode(text: Column, file: str = "byte_bpe_multi_50k.tiktoken", pattern: str
 
 
 class TokenTable:
-    """The bytes of all tokens in one buffer with offsets, so a batch of id lists is decoded by one gather."""
+    """The bytes of all tokens as one array of objects, so a row's ids are decoded by one take and one join.
+
+    Work and memory follow a row, not a whole Arrow batch: no index of all the batch's bytes is built.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
-        parts = [b""] * (max(ranks.values()) + 1)
+        self.tokens = np.empty(max(ranks.values()) + 1, dtype=object)
+        self.tokens[:] = b""
         for token, rank in ranks.items():
-            parts[rank] = token
-        self.lengths = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
-        self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
-        self.data = np.frombuffer(b"".join(parts), dtype=np.uint8)
+            self.tokens[rank] = token
 
     def decode(self, lists: pa.Array) -> pa.Array:
         """Binary of each list of ids; a null or empty list gives no bytes."""
         counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        sizes = self.lengths[ids]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        rows = ends[np.concatenate([[0], np.cumsum(counts)])]
-        gather = np.repeat(self.starts[ids] - ends[:-1], sizes) + np.arange(ends[-1])
-        data = self.data[gather].tobytes()
-        return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(rows.astype(np.int32).tobytes()), pa.py_buffer(data)])
+        ids = lists.flatten().to_numpy(zero_copy_only=False)
+        ends = np.cumsum(counts)
+        tokens = self.tokens
+        return pa.array([b"".join(tokens[ids[e - n:e]]) for n, e in zip(counts.tolist(), ends.tolist())], pa.binary())
 
 
 _tables: dict[str, TokenTable] = {}
