@@ -31,9 +31,17 @@ TOP = 10
 MAX_BROADCAST = 1_000_000  # rows of query terms or survivors sent to every task; beyond it they are joined by shuffle
 
 
+SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # runs of what TERM excludes
+
+
 def terms(text: Column) -> Column:
-    """The terms of a text in order, repeats kept; a null text has none."""
-    return F.coalesce(F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(TERM), F.lit(0)), F.array().cast("array<string>"))
+    """The terms of a text in order, repeats kept; a null text has none.
+
+    The maximal matches of TERM are the pieces between runs of SEPARATORS, empty ones dropped; splitting is some
+    three times cheaper than extracting the matches.
+    """
+    pieces = F.array_remove(F.split(F.translate(text, UPPER, LOWER), SEPARATORS), "")
+    return F.coalesce(pieces, F.array().cast("array<string>"))
 
 
 def _broadcast_if_small(frame: DataFrame, rows: int) -> DataFrame:
