@@ -2,10 +2,12 @@
 
 Generators of high recall propose spans, which may overlap: anything around an @, dotted numbers, long groups of digits,
 and numbers grouped as phone numbers are. Boosted trees judge each candidate by its format (length, digits, separators, check
-digit, shape of groups) and its context (the words and characters about it). They learn from a bounded sample of
+digit, shape of groups) and its context (the words and characters about it). They learn from two thirds of all
 candidates, labelled by whether a base format holds for just that span; the checks that define the
-base formats are held back from the trees on a part of the rows, so they learn what such spans look like. The
-threshold of each kind is calibrated on other rows: the lowest score above which PRECISION of the candidates hold.
+base formats are held back from the trees on half of them, so they learn what such spans look like. The
+threshold of each kind is calibrated on the last third: the lowest score above which PRECISION of the candidates hold.
+Candidates of equal features are counted by Spark, and the trees take the counts, so none is left out and what comes
+to the driver grows with the kinds of candidates, not with the texts. Lengths count up to LONGEST.
 Accepted candidates that overlap no base span are added.
 
 The trees are numpy arrays on the driver and become one expression: texts never leave the JVM.
@@ -18,7 +20,6 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gramloom.llm.common import hash_share
 from gramloom.llm.quality import Trees, fit
 from gramloom.llm.spans import matches, none_of, overlapping
 
@@ -37,7 +38,7 @@ GENERATORS = {
     "card": (r"(?<![0-9])[0-9]{2,8}+(?:[\x20.-]?[0-9]{2,8}+){1,6}", r"[0-9]{4}"),
     "phone": (r"(?<![0-9+(])[+(]?[0-9][0-9().\x20/-]{5,22}[0-9](?![0-9])", r"[0-9]{3}"),
 }
-SAMPLE = 20_000  # candidates learnt from, at most about
+LONGEST = 64  # lengths and numbers of separators above this are one feature value, which bounds the distinct ones
 PRECISION = 0.98
 PLACE = "struct<start:int,rank:int,end:int,kind:string>"
 CANDIDATE = "struct<start:int,rank:int,end:int,kind:string,x:array<double>,base:boolean>"
@@ -98,10 +99,13 @@ def _features(kind: str, text: Column, s: Column) -> Column:
     before = F.lower(F.substring(text, F.greatest(s["start"] - 23, F.lit(1)), F.least(s["start"], F.lit(24))))
     after = F.substring(text, s["end"] + 1, F.lit(1))
     groups = F.regexp_replace(m, "[^0-9]+", "x")
+
+    def long(s: Column) -> Column:
+        return F.least(F.length(s), F.lit(LONGEST)).cast("double")
+
     return F.array(
-        F.lit(float(KINDS.index(kind))), F.length(m).cast("double"), F.length(digits).cast("double"),
-        F.length(F.regexp_replace(groups, "[0-9]", "")).cast("double"), _number(m.startswith("+")), _number(m.contains("(")),
-        F.length(F.regexp_replace(m, r"[^\x20]", "")).cast("double"), F.length(F.regexp_replace(m, r"[^.]", "")).cast("double"),
+        F.lit(float(KINDS.index(kind))), long(m), long(digits), long(F.regexp_replace(groups, "[0-9]", "")), _number(m.startswith("+")), _number(m.contains("(")),
+        long(F.regexp_replace(m, r"[^\x20]", "")), long(F.regexp_replace(m, r"[^.]", "")),
         _number(F.lit(kind == "ip") & _octets(m)), _number(F.lit(kind == "card") & F.length(digits).between(13, 19) & _luhn(digits)),
         _number(m.rlike(r"^[0-9]{4}[\x20-]?[0-9]{4}[\x20-]?[0-9]{4}")), _number(m.rlike(r"[A-Za-z0-9]@[A-Za-z0-9-]+\.[A-Za-z]{2,}")),
         _number(m.rlike(r"[^A-Za-z0-9]$")), _number(before.rlike(_WORDS[kind])), _number(after.rlike(r"[A-Za-z0-9_]")),
@@ -139,27 +143,26 @@ def scored(trees: Trees, x: Column) -> Column:
 
 
 def learn(found: DataFrame) -> tuple[Trees | None, dict[str, float]]:
-    """Trees, and the threshold of each kind, from rows with an array ``candidates``."""
-    rows = found.where(F.size("candidates") > 0).select("row", F.explode("candidates").alias("c"))
-    n = rows.count()
-    seen = rows.where(hash_share(F.struct("row", "c.start", "c.kind"), min(1.0, SAMPLE / max(n, 1))))
-    seen = seen.select("row", "c.start", "c.kind", "c.x", "c.base").collect()
-    seen.sort(key=lambda r: (r["kind"], r["x"], r["row"], r["start"]))
-    if len({r["base"] for r in seen}) < 2:
+    """Trees, and the threshold of each kind, from all rows' (doc_id, candidates)."""
+    rows = found.where(F.size("candidates") > 0).select("doc_id", F.explode("candidates").alias("c"))
+    third = F.pmod(F.xxhash64("doc_id", "c.start", "c.kind"), F.lit(3)).alias("part")
+    seen = rows.select("c.kind", "c.x", "c.base", third).groupBy("kind", "x", "base", "part").agg(F.count(F.lit(1)).alias("n")).collect()
+    seen.sort(key=lambda r: (r["kind"], r["x"], r["base"], r["part"]))
+    if len({r["base"] for r in seen if r["part"] != 2}) < 2 or all(r["part"] != 2 for r in seen):
         return None, {}
     x, y = np.array([r["x"] for r in seen]), np.array([r["base"] for r in seen], float)
-    kinds, part = np.array([r["kind"] for r in seen]), np.arange(len(seen)) % 3
+    kinds, part, n = np.array([r["kind"] for r in seen]), np.array([r["part"] for r in seen]), np.array([r["n"] for r in seen], float)
     hidden = x.copy()
     hidden[part == 0, 8:10] = 0.0  # without the check digit and the range of numbers
     learning, checking = part != 2, part == 2
-    trees = fit(hidden[learning], y[learning], [0] * x.shape[1], trees=20, depth=3, rate=0.3)
+    trees = fit(hidden[learning], y[learning], [0] * x.shape[1], trees=20, depth=3, rate=0.3, counts=n[learning])
     thresholds = {}
     margin = trees.margin(x[checking])
     for kind in KINDS:
         mine = kinds[checking] == kind
         order = np.argsort(-margin[mine], kind="stable")
-        m, hits = margin[mine][order], np.cumsum(y[checking][mine][order])
-        share = hits / np.arange(1, len(m) + 1)
+        m, often = margin[mine][order], n[checking][mine][order]
+        share = np.cumsum(y[checking][mine][order] * often) / np.cumsum(often)
         last = np.flatnonzero((share >= PRECISION) & np.append(m[1:] < m[:-1], True)) if len(m) else []
         if len(last) and m[last[-1]] > 0:
             thresholds[kind] = float(m[last[-1]])

@@ -117,11 +117,18 @@ class Trees:
         return self.start + self.leaf[trees, at - inner].sum(1)
 
 
-def fit(x: np.ndarray, y: np.ndarray, directions: list[int], trees: int = TREES, depth: int = DEPTH, rate: float = RATE) -> Trees:
-    """Boosted trees for 0/1 labels. The lighter class gets the heavier weight, so that both count alike."""
-    cuts = [np.unique(np.quantile(column, np.linspace(0, 1, BINS)[1:-1])) for column in x.T]
+def fit(x: np.ndarray, y: np.ndarray, directions: list[int], trees: int = TREES, depth: int = DEPTH, rate: float = RATE,
+        counts: np.ndarray | None = None) -> Trees:
+    """Boosted trees for 0/1 labels. The lighter class gets the heavier weight, so that both count alike.
+
+    With ``counts``, each row stands for as many equal ones, and the trees are those of the rows so repeated.
+    """
+    shares = np.linspace(0, 1, BINS)[1:-1]
+    cuts = [np.unique(np.quantile(column, shares) if counts is None else _quantiles(column, counts, shares)) for column in x.T]
+    counts = np.ones(len(y)) if counts is None else counts
     bins = np.stack([np.searchsorted(c, column, side="left") for c, column in zip(cuts, x.T)], 1)
-    weight = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1)) * len(y)
+    positive, negative = (counts * y).sum(), (counts * (1 - y)).sum()
+    weight = np.where(y == 1, 0.5 / max(positive, 1), 0.5 / max(negative, 1)) * counts.sum() * counts
     margin, inner = np.zeros(len(y)), 2 ** depth - 1
     feature, threshold = np.zeros((trees, inner), np.int64), np.full((trees, inner), np.inf)
     leaf = np.zeros((trees, 2 ** depth))
@@ -132,7 +139,7 @@ def fit(x: np.ndarray, y: np.ndarray, directions: list[int], trees: int = TREES,
         low, high = np.full(2 * inner + 1, -np.inf), np.full(2 * inner + 1, np.inf)
         for node in range(inner):
             mine = np.flatnonzero(at == node)
-            cut = _best_cut(bins[mine], g[mine], h[mine], cuts, directions, low[node], high[node])
+            cut = _best_cut(bins[mine], g[mine], h[mine], counts[mine], cuts, directions, low[node], high[node])
             if cut is None:
                 at[mine] = 2 * node + 1
                 low[2 * node + 1:2 * node + 3], high[2 * node + 1:2 * node + 3] = low[node], high[node]
@@ -153,9 +160,18 @@ def fit(x: np.ndarray, y: np.ndarray, directions: list[int], trees: int = TREES,
     return Trees(feature, threshold, leaf)
 
 
-def _best_cut(bins, g, h, cuts, directions, low, high):
+def _quantiles(column, counts, shares):
+    """np.quantile of the column with each value as often as its count says."""
+    order = np.argsort(column, kind="stable")
+    values, upto = column[order], np.cumsum(counts[order])
+    place = shares * (upto[-1] - 1)
+    low, high = (values[np.searchsorted(upto, at, side="right")] for at in (np.floor(place), np.ceil(place)))
+    return low + (high - low) * (place - np.floor(place))
+
+
+def _best_cut(bins, g, h, counts, cuts, directions, low, high):
     """(feature, bin, middle of the two values) of the best gain, or None."""
-    if len(g) < 2 * SMALLEST_LEAF:
+    if counts.sum() < 2 * SMALLEST_LEAF:
         return None
     best, found = 1e-6, None
     total_g, total_h = g.sum(), h.sum()
@@ -164,12 +180,12 @@ def _best_cut(bins, g, h, cuts, directions, low, high):
         if n < 2:
             continue
         left_g, left_h = (np.cumsum(np.bincount(bins[:, f], w, n))[:-1] for w in (g, h))
-        count = np.cumsum(np.bincount(bins[:, f], minlength=n))[:-1]
+        count = np.cumsum(np.bincount(bins[:, f], counts, n))[:-1]
         right_g, right_h = total_g - left_g, total_h - left_h
         gain = left_g ** 2 / (left_h + PENALTY) + right_g ** 2 / (right_h + PENALTY) - total_g ** 2 / (total_h + PENALTY)
         a = np.clip(left_g / (left_h + PENALTY), low, high)
         b = np.clip(right_g / (right_h + PENALTY), low, high)
-        gain[(count < SMALLEST_LEAF) | (len(g) - count < SMALLEST_LEAF) | (directions[f] * (b - a) < 0)] = 0
+        gain[(count < SMALLEST_LEAF) | (counts.sum() - count < SMALLEST_LEAF) | (directions[f] * (b - a) < 0)] = 0
         k = int(gain.argmax())
         if gain[k] > best:
             best, found = gain[k], (f, k, (a[k] + b[k]) / 2)

@@ -98,3 +98,30 @@ def test_query_digests(spark):
     for r in op8_pii(spark, sf).collect():
         want = ",".join(f"{k}:{a}:{b}" for _, a, b, k in base_personal(rows[r["doc_id"]]))
         assert r["base_sha256"] == hashlib.sha256(want.encode()).hexdigest() and r["n_card"] == want.count("card:")
+
+
+def test_personal_models_and_thresholds_come_from_all_candidates(spark):
+    """Equal candidates are counted, and trees of counted rows are those of the rows repeated."""
+    import numpy as np
+    from gramloom.llm.quality import fit
+    rng = np.random.default_rng(3)
+    x, n = rng.integers(0, 9, (60, 4)).astype(float), rng.integers(1, 9, 60)
+    y = (x[:, 0] + rng.integers(0, 4, 60) > 6).astype(float)
+    counted = fit(x, y, [0] * 4, trees=4, depth=3, counts=n.astype(float))
+    repeated = fit(np.repeat(x, n, 0), np.repeat(y, n), [0] * 4, trees=4, depth=3)
+    assert np.array_equal(counted.feature, repeated.feature) and np.allclose(counted.threshold, repeated.threshold)
+    assert np.allclose(counted.leaf, repeated.leaf)
+
+    rows = spark.range(30_000).selectExpr(
+        "id doc_id", "array(named_struct('start', 0, 'rank', 3, 'end', 9, 'kind', 'phone', 'x', transform(sequence(0, 15), "
+        "i -> if(i = 4, double(id % 2), 0.0D)), 'base', id % 2 = 1)) candidates")
+    trees, thresholds = pii.learn(rows)
+    assert set(thresholds) == {"phone"}
+    seen = {}
+    real, pii.fit = pii.fit, lambda *a, **named: seen.update(named) or real(*a, **named)
+    try:
+        pii.learn(rows)
+    finally:
+        pii.fit = real
+    whole = rows.where("pmod(xxhash64(doc_id, candidates[0].start, candidates[0].kind), 3) != 2").count()
+    assert seen["counts"].sum() == whole  # two thirds of all 30,000, which a sample of 20,000 would not give
