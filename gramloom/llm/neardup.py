@@ -11,10 +11,10 @@ probability of about (1 - 0.75 ** 4) ** TREES = 1e-4.
 Nodes of at most SMALL documents are compared exhaustively. Larger nodes branch on, and in those that are large at the last
 step each document is compared with one of them, another in each tree. Comparisons count differing bits of signatures;
 near pairs are confirmed on the full sets. As only components are asked for, this goes in two passes. First every member of a
-node brings its nearest predecessor, which connects dense groups at linear cost. Then near pairs across the components so
+node brings its nearest predecessor, a few over all trees, which connects dense groups at linear cost. Then near pairs across the components so
 found are confirmed, the nearest pairs of two components first; nodes that one component fills are done. The other nodes that are
 large at the first depth can hold crowds, distinct texts that share a template or a long passage, and no depth parts those
-from links. All their documents together go through an exact join instead (``crowd_pairs``), so that what meets at the first
+from links. All their documents together go through an exact join instead (``crowd_links``), so that what meets at the first
 depth is found, whatever the node's size. Links are joined into components by star contraction.
 
 Texts without words, empty or null, have the empty set and no links. Rows with a null doc_id cannot be named: their
@@ -44,7 +44,10 @@ SMALL = 16
 MAX_BITS = 31
 BLOCK = 512
 CLASS = 1.05  # ratio of the sizes of neighbouring classes
+FIRST = 4  # nearest predecessors that a document brings in the first pass
 NEAREST = 8  # pairs of two components confirmed before the others
+UNIT = 1 << 16  # shingles of a unit, on average: 512 KB
+GUESTS = 64
 SLOTS = 1 << 20  # of the filter of ids
 LEAST = 75  # links: 100 * shared >= LEAST * united
 CACHED_WORDS = 300_000
@@ -206,27 +209,33 @@ def grown(nodes: DataFrame, folder: str) -> tuple[DataFrame, DataFrame, DataFram
 
 
 def first_pairs(small: DataFrame, dense: DataFrame) -> DataFrame:
-    """Near pairs (a, b, bits) that connect what is alike in a node: nearest predecessors, and stars of dense nodes."""
+    """Near pairs (a, b, bits) that connect what is alike in a node: nearest predecessors, and stars of dense nodes.
+
+    Each document brings its FIRST nearest ones over all trees. What they leave apart, the second pass looks at in full.
+    """
     member = F.struct("rep", "b0", "b1")
-    chains = small.groupBy("node").agg(F.sort_array(F.collect_list(member)).alias("m")).select(F.explode(_predecessors(F.col("m"))).alias("p")).select("p.*")
+    chains = small.groupBy("node").agg(F.sort_array(F.collect_list(member)).alias("m")).select(
+        F.explode(_predecessors(F.col("m"))).alias("p")).select(F.col("p.b").alias("by"), "p.*")
     pivots = dense.groupBy("node").agg(F.min(F.struct(F.xxhash64("rep", "node").alias("h"), "rep", "b0", "b1")).alias("pivot"))
-    star = dense.join(pivots, "node").select(_pair(member, F.col("pivot")).alias("p")).select("p.*").where(f"a != b and bits <= {MAX_BITS}")
-    return chains.union(star).groupBy("a", "b").agg(F.min("bits").alias("bits"))
+    star = dense.join(pivots, "node").select(F.col("rep").alias("by"), _pair(member, F.col("pivot")).alias("p")).select(
+        "by", "p.*").where(f"a != b and bits <= {MAX_BITS}")
+    found = chains.union(star).groupBy("by", "a", "b").agg(F.min("bits").alias("bits"))
+    place = F.row_number().over(Window.partitionBy("by").orderBy("bits", "a", "b"))  # some of one document's trees each
+    return found.withColumn("place", place).where(f"place <= {FIRST}").select("a", "b", "bits").distinct()
 
 
-def second_pairs(small: DataFrame, crowded: DataFrame, known: DataFrame, docs: DataFrame, folder: str) -> DataFrame:
-    """Near pairs (a, b, bits) across the known components (id, component)."""
+def in_components(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """The rows with the component of their rep among the known components (id, component)."""
     known = known.select(F.col("id").alias("rep"), "component")
+    return rows.join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
 
-    def named(rows: DataFrame) -> DataFrame:
-        return rows.join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
 
+def second_pairs(small: DataFrame) -> DataFrame:
+    """Near pairs (a, b, bits) across components, of the named members of small nodes."""
     member = F.struct("rep", "b0", "b1", "component")
-    mixed = named(small).groupBy("node").agg(F.collect_list(member).alias("m"), F.min("component").alias("l"), F.max("component").alias("h"))
+    mixed = small.groupBy("node").agg(F.collect_list(member).alias("m"), F.min("component").alias("l"), F.max("component").alias("h"))
     pairs = mixed.where("l != h").select(F.explode(_across(F.col("m"))).alias("p")).select("p.*")
-
-    exact = crowd_pairs(named(crowded), docs, folder)
-    return pairs.union(exact).groupBy("a", "b").agg(F.min("bits").alias("bits"))
+    return pairs.groupBy("a", "b").agg(F.min("bits").alias("bits"))
 
 
 def _class(n: Column) -> Column:
@@ -239,47 +248,100 @@ def _overlap(n: Column, m: Column) -> Column:
     return F.ceil(LEAST * (n + m) / (100 + LEAST) - 1e-6)
 
 
-def crowd_pairs(rows: DataFrame, docs: DataFrame, folder: str) -> DataFrame:
-    """All pairs (a, b, bits) that can be links across components, of those in large nodes that no component fills.
+def crowd_links(rows: DataFrame, docs: DataFrame, folder: str) -> DataFrame:
+    """Links (a, b) across components, of the named members of large nodes that no component fills: one at least of each
+    two components that have any.
 
     An exact prefix filter over the full sets (Xiao and others, "Efficient similarity joins for near duplicate detection",
     2008). Shingles stand in one order: first those of a single component, then the others, rare ones before common ones.
     Where linked sets first agree in it, each has as many shingles to come as they must share. What a crowd has
     in common stands last, and is too little for that unless the crowd is at the threshold. A posting is a shingle and
     two classes of sizes; in it, those outside its most frequent component are compared with all, in blocks.
+
+    What is compared are units, parts of a component of about UNIT shingles: a text that many near copies might be linked
+    with meets their units, not each of them. Units that meet have all their full sets compared (``unit_links``).
     """
     mixed = rows.groupBy("node").agg(F.min("component").alias("l"), F.max("component").alias("h")).where("l != h").select("node")
-    crowd = _stored(rows.join(mixed, "node", "left_semi").select("rep", "b0", "b1", "component").distinct(), f"{folder}/crowd")
-    sets = stored_sets(crowd.select(F.col("rep").alias("doc_id")).distinct(), docs, f"{folder}/crowd_sets")
-    of_rep = crowd.select("rep", "component").distinct()
+    crowd = _stored(rows.join(mixed, "node", "left_semi").select("rep", "component").distinct(), f"{folder}/crowd")
+    sets = stored_sets(crowd.select(F.col("rep").alias("doc_id")), docs, f"{folder}/crowd_sets").withColumnRenamed("doc_id", "rep")
     # an id can have several texts, which are ranked each on its own
-    held = sets.withColumnRenamed("doc_id", "rep").join(of_rep, "rep").select(
-        "rep", "component", F.xxhash64("s").alias("text"), F.explode(_unpacked(F.col("s"))).alias("shingle"))
+    sizes = sets.select("rep", F.xxhash64("s").alias("text"), (F.octet_length("s") / 8).cast("bigint").alias("n")).distinct()
+    weight = sizes.groupBy("rep").agg(F.sum("n").alias("w")).join(crowd, "rep")
+    parts = weight.groupBy("component").agg(F.ceil(F.sum("w") / UNIT).alias("parts"))
+    placed = weight.join(parts, "component").withColumn("part", F.pmod(F.xxhash64("rep"), "parts"))
+    weights = placed.groupBy("component", "part").agg(F.sum("w").alias("w"))
+    placed = _stored(placed.drop("w", "parts").join(weights, ["component", "part"]).select(
+        "rep", F.struct("w", "component", "part").alias("unit")), f"{folder}/placed")
+    units = _stored(sets.join(placed, "rep").groupBy("unit").agg(F.collect_list(F.struct("rep", "s")).alias("held")), f"{folder}/units")
+
+    held = sets.join(crowd, "rep").select("rep", "component", F.xxhash64("s").alias("text"), F.explode(_unpacked(F.col("s"))).alias("shingle"))
     own = Window.partitionBy("shingle")
     held = held.select("rep", "text", "shingle", F.count("*").over(own).alias("held"),
                        (F.min("component").over(own) != F.max("component").over(own)).alias("shared")).where("shared")
     ranked = held.withColumn("r", F.row_number().over(Window.partitionBy("rep", "text").orderBy(F.desc("held"), "shingle")))
-    sizes = sets.select(F.col("doc_id").alias("rep"), F.xxhash64("s").alias("text"), (F.octet_length("s") / 8).cast("bigint").alias("n")).distinct()
     n, r, other = F.col("n"), F.col("r"), F.col("other")
     posts = ranked.select("rep", "text", "shingle", "r").join(sizes, ["rep", "text"]).where(100 * r >= LEAST * n)
     posts = posts.withColumn("class", _class(n)).withColumn("other", F.explode(F.sequence(
         _class(F.ceil(LEAST * n / 100)), _class(F.floor(100 * n / LEAST)))))
     least = F.when(other < 32, other).otherwise(F.floor(32 * F.pow(F.lit(CLASS), other - 32) - 1e-6))
-    posts = posts.where(r >= _overlap(n, least)).join(crowd, "rep")
-    posts = _stored(posts.select(F.xxhash64("shingle", F.least("class", "other"), F.greatest("class", "other")).alias("post"), "class", "other",
-                                 F.struct("rep", "b0", "b1", "component", "n", "r").alias("x")), f"{folder}/posts")
+    posts = posts.where(r >= _overlap(n, least)).join(placed, "rep")
+    post = F.xxhash64("shingle", F.least("class", "other"), F.greatest("class", "other")).alias("post")
+    # of a unit's sets in a posting, the bounds that let most pass
+    posts = posts.groupBy(post, "class", "other", "unit").agg(F.min("n").alias("n"), F.max("r").alias("r"))
+    posts = _stored(posts.select("post", "class", "other", F.struct("unit", "n", "r").alias("x")), f"{folder}/posts")
 
-    parts = posts.groupBy("post", F.col("x.component").alias("component")).agg(F.count("*").alias("k"))
+    parts = posts.groupBy("post", F.col("x.unit.component").alias("component")).agg(F.count("*").alias("k"))
     parts = parts.groupBy("post").agg(F.sum("k").alias("size"), F.max("k").alias("most"), F.max_by("component", F.struct("k", "component")).alias("main"))
     posts = posts.join(parts.where("most < size").drop("most"), "post")
     blocks = F.ceil(F.col("size") / BLOCK)
-    members = posts.select("post", F.pmod(F.xxhash64("x.rep"), blocks).alias("block"), "class", "x")
-    others = posts.where("x.component != main").select("post", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("block"),
-                                                       F.col("other").alias("class"), F.col("x").alias("y"))
+    members = posts.select("post", F.pmod(F.xxhash64("x.unit"), blocks).alias("block"), "class", "x")
+    others = posts.where("x.unit.component != main").select("post", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("block"),
+                                                            F.col("other").alias("class"), F.col("x").alias("y"))
     x, y = F.col("x"), F.col("y")
     both = members.join(others, ["post", "block", "class"]).where(
-        (x["component"] != y["component"]) & (F.least(x["r"], y["r"]) >= _overlap(x["n"], y["n"])))
-    return both.select(_pair(x, y).alias("p")).select("p.*")
+        (x["unit"]["component"] != y["unit"]["component"]) & (F.least(x["r"], y["r"]) >= _overlap(x["n"], y["n"])))
+    both = both.select(F.greatest("x.unit", "y.unit").alias("home"), F.least("x.unit", "y.unit").alias("guest")).distinct()
+    return unit_links(_stored(both, f"{folder}/meetings"), units)
+
+
+def unit_links(meetings: DataFrame, units: DataFrame) -> DataFrame:
+    """A link (a, b) of each two units (home, guest) whose documents have one; units are (unit, held), held (rep, s).
+
+    The heavier unit is the home. About GUESTS of its guests come to a task together, so its sets go there once for them.
+    """
+
+    def links(home: pa.Table, guests: pa.Table) -> pa.Table:
+        out = [[], []]
+        if home.num_rows:
+            held = home.column("of_home")[0].as_py()
+            sets = [np.frombuffer(h["s"], np.uint64) for h in held]
+            sizes = np.array([len(s) for s in sets])
+            values, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+            order = np.argsort(values, kind="stable")
+            values, owner = values[order], owner[order]
+            for guest in guests.column("of_guest"):
+                for g in guest.as_py():
+                    own = np.frombuffer(g["s"], np.uint64)
+                    first, past = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
+                    many = past - first
+                    at = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(many.sum())
+                    shared = np.bincount(owner[at], minlength=len(sets))
+                    linked = np.flatnonzero(100 * shared >= LEAST * (len(own) + sizes - shared))
+                    if len(linked):  # all others of the two units are known to hang together
+                        out[0].append(g["rep"])
+                        out[1].append(held[linked[0]]["rep"])
+                        break
+        return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
+
+    def place(share: Column) -> Column:
+        return F.concat_ws(" ", "home.component", "home.part", share).alias("place")
+
+    shares = meetings.groupBy("home").agg(F.ceil(F.count("*") / GUESTS).alias("shares"))
+    guests = meetings.join(shares, "home").select("guest", place(F.pmod(F.xxhash64("guest"), "shares")))
+    guests = guests.join(units.withColumnRenamed("unit", "guest"), "guest").select("place", F.col("held").alias("of_guest"))
+    homes = shares.withColumn("share", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1)))
+    homes = homes.join(units.withColumnRenamed("unit", "home"), "home").select(place(F.col("share")), F.col("held").alias("of_home"))
+    return homes.groupBy("place").cogroup(guests.groupBy("place")).applyInArrow(links, "a bigint, b bigint")
 
 
 def ends(pairs: DataFrame) -> DataFrame:
@@ -375,13 +437,14 @@ def near_duplicates(docs: DataFrame, folder: str) -> DataFrame:
     links = _stored(confirmed(pairs, stored_sets(ends(pairs), docs, f"{folder}/sets1")), f"{folder}/links1")
     known = components(links, f"{folder}/known1")
 
-    # across components: the nearest pairs of each two, then all of those still apart
-    pairs = second_pairs(small, crowded, known, docs, folder).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+    # across components: what large nodes hold, and the nearest pairs of each two from small ones, then all of those still apart
+    crowded = _stored(crowd_links(in_components(crowded, known), docs, folder), f"{folder}/crowd_links")
+    pairs = second_pairs(in_components(small, known)).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
     pairs = _stored(_between(pairs, known).withColumn("rank", F.row_number().over(
         Window.partitionBy("low", "high").orderBy("bits", "a", "b"))), f"{folder}/pairs2")
     sets = stored_sets(ends(pairs), docs, f"{folder}/sets2")
     nearest = _stored(confirmed(pairs.where(f"rank <= {NEAREST}"), sets), f"{folder}/links2")
-    again = known.select(F.col("component").alias("a"), F.col("id").alias("b")).where("a != b").union(nearest)
+    again = known.select(F.col("component").alias("a"), F.col("id").alias("b")).where("a != b").union(nearest).union(crowded)
     known = components(again, f"{folder}/known2")
     rest = _between(pairs.where(f"rank > {NEAREST}").select("a", "b", "bits"), known).where("low != high")
     more = confirmed(rest, sets)

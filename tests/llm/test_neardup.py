@@ -69,6 +69,17 @@ def test_links_inside_a_crowd_of_other_texts_are_found(spark, documents, folder,
     assert {r["doc_id"]: r["component_id"] for r in found(spark, documents, folder, rows)} == {i: c for i, (_, c) in want.items()}
 
 
+def test_texts_beside_a_large_group_meet_it_as_a_whole(spark, documents, folder, prose):
+    draw, base = random.Random(4), prose(12, 150)
+    rows = [(i, changed(base, draw.randint(1, 3), draw)) for i in range(300)]
+    rows += [(1000 + i, base + " " + " ".join(f"o{i}x{k}" for k in range(draw.randint(44, 60)))) for i in range(60)]  # below the threshold
+    rows += [(2000 + i, base + " " + " ".join(f"q{i}x{k}" for k in range(30))) for i in range(5)]  # linked with some copies
+    want = brute(rows)
+    assert {r["doc_id"]: r["component_id"] for r in found(spark, documents, folder, rows)} == {i: c for i, (_, c) in want.items()}
+    compared = [spark.read.parquet(f"{folder}/{name}").count() for name in ("pairs1", "pairs2", "meetings")]
+    assert sum(compared) < 8 * len(rows)  # 300 x 60 before
+
+
 def test_awkward_rows(spark, documents, folder, awkward):
     got = found(spark, documents, folder, awkward)
     assert len(got) == len(awkward)
