@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from gramloom.operators.candidates import one_slot_draws
@@ -51,6 +52,31 @@ def test_an_index_of_small_and_large_states_tiles_every_state(spark):
     assert index.draws().where("state_key = 'hub'").select("slot").distinct().count() == 125
 
 
+def test_counts_are_stored_in_order_and_share_beginnings(spark):
+    path = fresh_dir(spark, "ordered")
+    TransitionModel(spark, path).train(spark.createDataFrame(CORPUS, "source_id string, content string"), 2)
+    files = list(Path(path.removeprefix("file:")).glob("counts/batch=*/ord=2/*.parquet"))
+    for f in files:
+        keys = [(r["state_key"], r["next_token"]) for r in pq.read_table(str(f), partitioning=None).to_pylist()]
+        assert keys == sorted(keys)
+        column = next(c for c in map(pq.ParquetFile(str(f)).metadata.row_group(0).column, range(2)) if c.path_in_schema == "state_key")
+        assert "DELTA_BYTE_ARRAY" in column.encodings
+    assert files
+
+
+def test_an_index_is_written_one_order_at_a_time(spark, monkeypatch):
+    rows = spark.createDataFrame([(o, f"s{i % 7}", f"t{i}", 1) for o in (1, 2, 3) for i in range(50)],
+                                 "ord tinyint, state_key string, next_token string, count long")
+    seen, write = [], DrawIndex._write
+    def spy(self, name, rows, *args, **kwargs):
+        if name == "draws":
+            seen.append(sorted(r["ord"] for r in rows.select("ord").distinct().collect()))
+        write(self, name, rows, *args, **kwargs)
+    monkeypatch.setattr(DrawIndex, "_write", spy)
+    index = DrawIndex.build(rows, fresh_dir(spark, "orders"), buckets=4)
+    assert seen == [[1], [2], [3]] and index.draws().count() == 150
+
+
 def test_spread_bounds_the_bytes_of_a_task(spark):
     path = fresh_dir(spark, "bytes")
     spark.range(200_000).select(F.col("id"), F.md5(F.col("id").cast("string")).alias("text")).repartition(16).write.parquet(path)
