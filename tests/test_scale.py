@@ -8,10 +8,10 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from gramloom.operators.candidates import one_slot_draws
-from gramloom.operators.tally import GRAMS, longest
+from gramloom.operators.tally import GRAMS, longest, shorter
 from gramloom.plans.index import DrawIndex
 from gramloom.plans.model import TransitionModel
-from gramloom.session import fresh_dir, small_reads, stored, tidy
+from gramloom.session import fresh_dir, open_files, small_reads, stored, tidy
 from gramloom.sources.corpus import spread
 
 CORPUS = [("x", "The word again the word. The other word, again.")] * 20
@@ -94,3 +94,22 @@ def test_tidy_restores_the_setting_and_stored_rows_stay(spark):
     assert stored(spark.range(10).groupBy((F.col("id") % 2).alias("k")).count(), "kept").count() == 2
     small_reads(spark)
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(16 << 20)
+
+
+def test_shorter_orders_are_summed_one_from_the_other(spark):
+    rows = stored(longest(spark.createDataFrame(CORPUS, "source_id string, content string"), 3), "longest")
+    kept = {}
+    def keep(of_order, order):
+        kept[order] = stored(of_order, "order")
+        return kept[order]
+    found = shorter(rows, 3, keep)
+    assert list(kept) == [2, 1, 0]  # each stored before the one below is summed from it
+    assert found.exceptAll(shorter(rows, 3)).isEmpty() and shorter(rows, 3).exceptAll(found).isEmpty()
+    assert {(r.state_key, r.next_token): r.n for r in kept[1].where("state_key = 'the'").collect()} == {("the", "word"): 40, ("the", "other"): 20}
+
+
+def test_counts_are_written_without_a_sort_by_order(spark):
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    with open_files(spark):
+        assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) >= 16
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
