@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from gramloom.sources.corpus import spread
+from gramloom.session import small_batches
+from gramloom.sources import corpus
 
 __all__ = ["WORD", "fold", "free_name", "hash_share", "over_texts", "row_share", "sample_of", "spread", "table", "texts_of"]
 
@@ -20,8 +21,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows with whole texts, shuffled when too few tasks hold any; they go to Python workers in small batches."""
+    small_batches(rows.sparkSession)
+    return corpus.spread(rows)
+
+
 def texts_of(docs: DataFrame) -> DataFrame:
     """(doc_id, text) alone, so that other columns of a table never clash with results."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 

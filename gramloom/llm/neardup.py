@@ -388,15 +388,23 @@ def _stored(frame: DataFrame, folder: str) -> DataFrame:
     return frame.sparkSession.read.parquet(folder)
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node of the edges (v, u), u < v, is either a leaf of one edge or a centre: then u is the smallest id of all."""
+    nodes = edges.select(F.col("v").alias("id"), F.lit(1).alias("leaf")).union(edges.select("u", F.lit(0)))
+    return nodes.groupBy("id").agg(F.sum("leaf").alias("edges"), F.min("leaf").alias("least")).where("edges > least").isEmpty()
+
+
 def components(links: DataFrame, folder: str) -> DataFrame:
     """(id, component) of all ids in links (a, b): the smallest id that can be reached.
 
-    Large and small stars alternate (Kiveris and others, 2014) until nothing moves; each round is written to ``folder``.
+    Large and small stars alternate (Kiveris and others, 2014) until all edges are stars; the edges of each round are
+    written to ``folder``. Links that are stars to begin with take no round.
     """
     spark = links.sparkSession
     edges = links.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).where("u < v").distinct()
-    before, turn = None, 0
-    while True:
+    edges, turn = _stored(edges, f"{folder}/round0"), 0
+    while not _stars(edges):
+        turn += 1
         both = edges.union(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
         least = both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m"))
         large = both.join(least, "v").where("u > v").select(F.col("u").alias("v"), F.col("m").alias("u")).distinct()
@@ -405,10 +413,6 @@ def components(links: DataFrame, folder: str) -> DataFrame:
         edges = joined.where("u != m").select(F.col("u").alias("v"), F.col("m").alias("u")).union(least.select("v", F.col("m").alias("u"))).where("u < v").distinct()
         edges.write.parquet(f"{folder}/round{turn}")
         edges = spark.read.parquet(f"{folder}/round{turn}")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before, turn = state, turn + 1
     found = edges.select(F.col("v").alias("id"), F.col("u").alias("component"))
     return found.union(found.select(F.col("component").alias("id"), "component").distinct())
 

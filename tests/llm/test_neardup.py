@@ -1,10 +1,12 @@
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import pytest
 
 from gramloom.llm import neardup
+from gramloom.llm.common import texts_of
 
 
 def brute(rows):
@@ -113,3 +115,15 @@ def test_components_of_paths_and_stars(spark, folder, edges):
             parent[a] = parent[b] = min(parent[a], parent[b])
     linked = {x for a, b in edges if a != b for x in (a, b)}
     assert {r["id"]: r["component"] for r in got} == {x: parent[x] for x in linked}
+
+
+def test_links_that_are_stars_take_no_round(spark, folder):
+    links = spark.createDataFrame([(1, 2), (3, 1), (9, 5)], "a long, b long")
+    assert sorted(map(tuple, neardup.components(links, folder).collect())) == [(1, 1), (2, 1), (3, 1), (5, 5), (9, 5)]
+    assert sorted(p.name for p in Path(folder).iterdir()) == ["round0"]
+
+
+def test_texts_go_to_python_in_small_batches(spark, documents):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    texts_of(documents((1, "a")))
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "1000"
