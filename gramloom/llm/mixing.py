@@ -15,6 +15,7 @@ others come as near as they can.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -47,6 +48,11 @@ def with_statistics(docs: DataFrame, text: Column, tokens: str, x: str) -> DataF
     return docs.withColumn(row, F.element_at(counted, 1)).withColumn(tokens, F.col(row)["n"]).withColumn(x, F.col(row)["x"]).drop(row)
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that a row computes once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 @dataclass
 class Mixture:
     """Domains, the classifier's weights (a row per domain, the constant last), and the steps of the fit."""
@@ -57,6 +63,9 @@ class Mixture:
 
     def probabilities(self, x: Column) -> Column:
         """Array of the domains' probabilities."""
+        return _bound(x, self._probabilities)
+
+    def _probabilities(self, x: Column) -> Column:
         scores = []
         for row in self.weights:
             score = F.lit(float(row[-1]))
@@ -64,7 +73,8 @@ class Mixture:
                 score = score + x[i] * float(w)
             scores.append(score)
         raw = F.transform(F.array(*scores), lambda s: F.exp(F.greatest(F.least(s, F.lit(30.0)), F.lit(-30.0))))
-        return F.element_at(F.transform(F.array(raw), lambda e: F.transform(e, lambda v: v / F.aggregate(e, F.lit(0.0), lambda a, b: a + b))), 1)
+        total = lambda e: F.aggregate(e, F.lit(0.0), lambda a, b: a + b)
+        return _bound(raw, lambda e: _bound(total(e), lambda t: F.transform(e, lambda v: v / t)))
 
     def rate(self, p: Column) -> Column:
         """The rate that the steps so far give a document with these probabilities."""
@@ -73,10 +83,10 @@ class Mixture:
             return rate
         steps = F.array(*[F.array(*map(F.lit, step)) for step in self.steps])
 
-        def moved(r: Column, step: Column) -> Column:
-            return F.greatest(F.lit(0.0), r - F.aggregate(F.zip_with(p, step, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b))
+        def moved(q: Column, r: Column, step: Column) -> Column:
+            return F.greatest(F.lit(0.0), r - F.aggregate(F.zip_with(q, step, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b))
 
-        return F.aggregate(steps, rate, moved)
+        return _bound(p, lambda q: F.aggregate(steps, rate, lambda r, step: moved(q, r, step)))
 
 
 def classifier(x: np.ndarray, y: np.ndarray, domains: list[str]) -> np.ndarray:
@@ -153,15 +163,16 @@ def copies(rate: Column, doc_id: Column) -> Column:
 
 def mixed(docs: DataFrame, mixture: Mixture) -> DataFrame:
     """The rows of docs, each as many times as its copies say, with the columns that docs has."""
+    if len(mixture.domains) < 2:
+        return docs
     names = docs.columns
     fresh = []
     for stem in ("tokens", "x", "copy"):
         while stem in names or stem in fresh:
             stem = "_" + stem
         fresh.append(stem)
-    if len(mixture.domains) < 2:
-        return docs
     tokens, x, copy = fresh
-    rows = with_statistics(docs, F.col("text"), tokens, x).withColumn(x, mixture.rate(mixture.probabilities(F.col(x))))
-    times = copies(F.col(x), F.col("doc_id"))
-    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.greatest(times, F.lit(1))))).where(times > 0).select(*names)
+    rows = with_statistics(docs, F.col("text"), tokens, x)
+    times = copies(mixture.rate(mixture.probabilities(F.col(x))), F.col("doc_id"))
+    # No copies are an empty array, which explode drops: a filter of its own would work the statistics out again.
+    return rows.withColumn(copy, F.explode(F.array_repeat(F.lit(1), times))).select(*names)

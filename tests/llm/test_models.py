@@ -233,3 +233,14 @@ def test_classifier_tells_domains_apart():
     y = np.array([0] * 200 + [1] * 50)
     weights = mixing.classifier(x, y, ["a", "b"])
     assert ((np.column_stack([x, np.ones(250)]) @ weights.T).argmax(1) == y).mean() > 0.97
+
+
+def test_mixing_works_a_text_out_once(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    mixture = mixing.Mixture(["a", "b"], np.random.default_rng(7).normal(0, 1, (2, 10)), [[0.3, -0.5], [-0.4, 0.2], [0.1, -0.3]])
+    made = mixing.mixed(docs, mixture)
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("split(") <= 3  # words, lines twice
+    stated = mixing.with_statistics(docs.select("doc_id", "text"), F.col("text"), "n", "x").collect()
+    wanted = spark.createDataFrame([(r["doc_id"], r["x"]) for r in stated], "doc_id long, x array<double>").select(
+        "doc_id", mixing.copies(mixture.rate(mixture.probabilities(F.col("x"))), F.col("doc_id")).alias("n")).where("n > 0")
+    assert sorted(map(tuple, made.groupBy("doc_id").agg(F.count("*")).collect())) == sorted(map(tuple, wanted.collect()))
