@@ -25,22 +25,25 @@ from pyspark.sql import functions as F
 SAMPLE = 6_000  # labelled documents of each domain that the classifier learns from, at most about
 PASSES, CLOSE = 25, 1e-6  # at most; share of all tokens by which domains may miss their targets
 _SPACE = r"[\x20\x09-\x0D]+"
-_UPPER, _DIGITS, _SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "#*$%&|<>"
+_KINDS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "#*$%&|<>", ".", "!?")  # of characters, no character in two
 
 
 def with_statistics(docs: DataFrame, text: Column, tokens: str, x: str) -> DataFrame:
     """The rows with the number of words (long) and an array of statistics of a text."""
     body = F.coalesce(text, F.lit(""))
     words = F.filter(F.split(body, _SPACE), lambda w: w != "")
+    # One pass gives every character of a kind the same mark; counting marks is a plain search for one byte.
+    marks = F.translate(body, "".join(_KINDS), "".join(kind[0] * len(kind) for kind in _KINDS))
+    lines = F.split(body, "\n")
 
-    def share(characters: str) -> Column:
-        return (F.length(body) - F.length(F.translate(body, characters, ""))) / F.greatest(F.length(body), F.lit(1))
+    def shares(marks: Column, n: Column) -> list[Column]:
+        return [(n - F.length(F.replace(marks, F.lit(kind[0]), F.lit("")))) / F.greatest(n, F.lit(1)) for kind in _KINDS]
 
-    lines = F.split(body, "\n")
-    counted = F.transform(F.array(words), lambda w: F.struct(F.size(w).alias("n"), F.size(F.array_distinct(w)).alias("distinct")))
-    counted = F.transform(counted, lambda w: F.struct(w["n"].cast("bigint").alias("n"), F.array(
-        F.log1p(w["n"].cast("double")), w["distinct"] / F.greatest(w["n"], F.lit(1)), F.length(body) / F.greatest(w["n"], F.lit(1)) / 10,
-        share(_UPPER), share(_DIGITS), share(_SYMBOLS), share("."), share("!?"),
+    counted = F.transform(F.array(F.struct(words.alias("w"), marks.alias("m"), F.length(body).alias("c"))), lambda t: F.struct(
+        F.size(t["w"]).alias("n"), F.size(F.array_distinct(t["w"])).alias("distinct"), t["m"].alias("m"), t["c"].alias("c")))
+    counted = F.transform(counted, lambda t: F.struct(t["n"].cast("bigint").alias("n"), F.array(
+        F.log1p(t["n"].cast("double")), t["distinct"] / F.greatest(t["n"], F.lit(1)), t["c"] / F.greatest(t["n"], F.lit(1)) / 10,
+        *shares(t["m"], t["c"]),
         F.size(F.array_distinct(lines)) / F.size(lines)).alias("x")))
     row = "_counted"
     while row in docs.columns:

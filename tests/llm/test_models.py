@@ -244,3 +244,13 @@ def test_mixing_works_a_text_out_once(spark):
     wanted = spark.createDataFrame([(r["doc_id"], r["x"]) for r in stated], "doc_id long, x array<double>").select(
         "doc_id", mixing.copies(mixture.rate(mixture.probabilities(F.col("x"))), F.col("doc_id")).alias("n")).where("n > 0")
     assert sorted(map(tuple, made.groupBy("doc_id").agg(F.count("*")).collect())) == sorted(map(tuple, wanted.collect()))
+
+
+def test_statistics_mark_the_kinds_of_characters_in_one_pass(spark, documents, awkward):
+    rows = [*awkward, (8, "A9#!?."), (9, "!!??.."), (10, "&|<>*$%# 12 ABé😀")]
+    made = mixing.with_statistics(documents(*rows), F.col("text"), "n_tokens", "x")
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("translate(") == 1
+    for r in made.collect():
+        body = r["text"] or ""
+        shares = [sum(c in kind for c in body) / max(1, len(body)) for kind in ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "#*$%&|<>", ".", "!?")]
+        assert r["x"][3:8] == shares
