@@ -44,6 +44,7 @@ def over_texts(make: Callable[[], Callable[[list], pa.Array]], returns: str | Da
         work = make()
         for batch in batches:
             yield work(batch.to_pylist())
+        pa.default_memory_pool().release_unused()  # the worker lives on for other tasks
 
     return run.asNondeterministic()  # so that a plan never evaluates it twice for one row
 

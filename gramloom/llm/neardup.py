@@ -50,7 +50,7 @@ UNIT = 1 << 16  # shingles of a unit, on average: 512 KB
 GUESTS = 64
 SLOTS = 1 << 20  # of the filter of ids
 LEAST = 75  # links: 100 * shared >= LEAST * united
-CACHED_WORDS = 300_000
+CACHED_WORDS = 1 << 16  # some 8 MB a Python worker
 _PRIME, _PRIME2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 

@@ -33,7 +33,7 @@ PRIOR = 2.0  # weight of the shorter unit's share, in documents
 BEYOND_CHANCE = 3.3  # signed root of the likelihood ratio; one unit in two thousand exceeds it by chance
 DRIFT = 0.08
 SIGNIFICANT = 0.01  # expectation below which a segment counts
-CACHED_WORDS = 300_000
+CACHED_WORDS = 1 << 16  # some 8 MB a Python worker
 _WORD = re.compile(r"[^\W\d_]+")
 _SCHEMA = "struct<score:double,passages:array<struct<start:int,end:int,score:double,expected:double>>>"
 

@@ -3,10 +3,13 @@ import re
 from collections import Counter
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 
-from gramloom.llm import neardup
-from gramloom.llm.common import texts_of
+from gramloom.llm import neardup, toxicity
+from gramloom.llm.common import over_texts, texts_of
 
 
 def brute(rows):
@@ -127,3 +130,17 @@ def test_texts_go_to_python_in_small_batches(spark, documents):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     texts_of(documents((1, "a")))
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "1000"
+
+
+def test_remembered_words_stay_small():
+    hashes, scores = neardup._Words(), toxicity.Scores({})
+    for k in range(100_000):
+        hashes[b"w%d" % k], scores[f"w{k}"]
+    assert max(len(hashes), len(scores)) <= 1 << 16 and hashes[b"w7"] == xxhash.xxh3_64_intdigest(b"w7")
+
+
+def test_long_texts_go_to_python_in_smaller_batches(spark):
+    texts_of(spark.createDataFrame([(1, "a")], "doc_id long, text string"))
+    rows = spark.range(2000, numPartitions=1).select(F.repeat(F.lit("x"), 10_000).alias("text"))
+    count = over_texts(lambda: lambda texts: pa.array([len(texts)] * len(texts), pa.int32()), "int")
+    assert rows.select(count("text").alias("n")).agg(F.max("n")).first()[0] < 200
